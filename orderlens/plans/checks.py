@@ -33,7 +33,7 @@ def money(expr: str) -> str:
     return f"coalesce(CAST(sum(CAST({expr} AS DECIMAL(18,2))) AS DOUBLE), 0.0)"
 
 
-def _customers(source: str, arrival: str) -> str:
+def customers_sql(source: str, arrival: str) -> str:
     return f"""
 SELECT customer_id, count(*) AS total_orders, {money('total')} AS total_spent,
        max(CASE WHEN newest = 1 THEN order_id END) AS last_order_id,
@@ -44,13 +44,13 @@ FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY {arrival_de
 GROUP BY customer_id"""
 
 
-def _kept(source: str, arrival: str) -> str:
+def kept_sql(source: str, arrival: str) -> str:
     return f"""
 SELECT * FROM (SELECT *, lag(order_id) OVER (PARTITION BY customer_id ORDER BY {arrival}) AS prev_id
                FROM {source}) WHERE prev_id IS NULL OR prev_id <> order_id"""
 
 
-def _products(source: str) -> str:
+def products_sql(source: str) -> str:
     return f"""
 SELECT product_id, CAST(sum(quantity) AS BIGINT) AS total_quantity, {money('total')} AS total_revenue,
        count(*) AS order_count, CAST(sum(quantity) AS DOUBLE) / count(*) AS avg_quantity,
@@ -58,7 +58,7 @@ SELECT product_id, CAST(sum(quantity) AS BIGINT) AS total_quantity, {money('tota
 FROM {source} GROUP BY product_id"""
 
 
-def _steps(source: str, arrival: str) -> str:
+def steps_sql(source: str, arrival: str) -> str:
     return f"""
 SELECT *, 1 + coalesce(sum(CASE WHEN changed THEN 1 ELSE 0 END)
                 OVER (PARTITION BY order_id ORDER BY rn), 0) AS version
@@ -72,7 +72,7 @@ FROM (SELECT *, rn > 1 AND (previous_status <> status OR quantity <> q1 OR total
             FROM {source} WINDOW k AS (PARTITION BY order_id ORDER BY {arrival})))"""
 
 
-def _registered(steps: str) -> str:
+def registered_sql(steps: str) -> str:
     return f"""
 SELECT order_id, max(CASE WHEN rn = 1 THEN customer_id END) AS customer_id,
        max(CASE WHEN rn = 1 THEN product_id END) AS product_id, max(q1) AS quantity, max(p1) AS unit_price,
@@ -82,7 +82,7 @@ SELECT order_id, max(CASE WHEN rn = 1 THEN customer_id END) AS customer_id,
 FROM {steps} GROUP BY order_id"""
 
 
-def _updates(steps: str) -> str:
+def updates_sql(steps: str) -> str:
     return f"""
 SELECT order_id, CAST(version AS BIGINT) AS version, previous_status, status AS new_status,
        timestamp AS updated_at, 'Status changed' AS update_reason FROM {steps} WHERE changed"""
@@ -101,17 +101,17 @@ _PARTS: dict[str, tuple[str, str]] = {
     "clean": ("", _FEED.format(price="l_extendedprice / nullif(l_quantity, 0)")),
     "gated": ("feed", f"SELECT * FROM feed WHERE {GATE}"),
     "cgated": ("clean", f"SELECT * FROM clean WHERE {GATE}"),
-    "kept": ("gated", _kept("gated", CUSTOMER_ARRIVAL)),
-    "customers": ("kept", _customers("kept", CUSTOMER_ARRIVAL)),
-    "products": ("gated", _products("gated")),
+    "kept": ("gated", kept_sql("gated", CUSTOMER_ARRIVAL)),
+    "customers": ("kept", customers_sql("kept", CUSTOMER_ARRIVAL)),
+    "products": ("gated", products_sql("gated")),
     "approved": ("gated", f"SELECT * FROM gated WHERE {RULES}"),
     "capproved": ("cgated", f"SELECT * FROM cgated WHERE {RULES}"),
-    "steps": ("approved", _steps("approved", ORDER_ARRIVAL)),
-    "csteps": ("capproved", _steps("capproved", ORDER_ARRIVAL)),
-    "registered": ("steps", _registered("steps")),
-    "cregistered": ("csteps", _registered("csteps")),
-    "updates": ("steps", _updates("steps")),
-    "cupdates": ("csteps", _updates("csteps")),
+    "steps": ("approved", steps_sql("approved", ORDER_ARRIVAL)),
+    "csteps": ("capproved", steps_sql("capproved", ORDER_ARRIVAL)),
+    "registered": ("steps", registered_sql("steps")),
+    "cregistered": ("csteps", registered_sql("csteps")),
+    "updates": ("steps", updates_sql("steps")),
+    "cupdates": ("csteps", updates_sql("csteps")),
     "entries": ("gated", f"""
 SELECT order_id, customer_id, product_id, quantity, unit_price, total, timestamp, status
 FROM (SELECT *, row_number() OVER (PARTITION BY timestamp, order_id
