@@ -79,6 +79,18 @@ def decode_orders(messages: DataFrame, strict_money: bool = True, value: str = "
     )
 
 
+def decode_strict(messages: DataFrame, value: str = "value") -> DataFrame:
+    """The producer's reader: counts must be whole numbers in the text, so 5.7 or 5.0 is an error too."""
+    whole = {"customer_id": "INT", "quantity": "INT", "timestamp": "BIGINT"}
+    fields = ", ".join(f"`{_kebab(c)}` {whole.get(c) or _KINDS.get(c, 'DOUBLE')}" for c in ORDER_COLUMNS)
+    kept = [c for c in messages.columns if c not in (value, "timestamp", "key")]
+    parsed = messages.select(*kept, _parse(F.col(value), fields).alias("m"))
+    return parsed.select(
+        *kept, *[F.col("m")[_kebab(c)].alias(c) for c in ORDER_COLUMNS],
+        (F.col("m").isNull() | F.col(f"m.{_CORRUPT}").isNotNull()).alias("decode_error"),
+    )
+
+
 def decode_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     """Registry messages to orders; ``usable`` is false where the row is to be skipped."""
     kept = [c for c in messages.columns if c not in (value, "timestamp", "key")]

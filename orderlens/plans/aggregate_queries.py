@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderlens.functions.scalars import average
+from orderlens.functions.scalars import average, iso_instant
 from orderlens.functions.specs import order_spec
 from orderlens.operators import monitor, registry, store, timeline, views
 from orderlens.operators.ordering import group_in_chunks
@@ -177,7 +177,7 @@ SELECT year(make_timestamp(timestamp * 1000)) AS batch, count(*) AS total, count
 def _(spark, d):
     # one batch per year of the feed
     valid = order_spec().valid()
-    batch = F.year(F.timestamp_millis("timestamp").cast("timestamp_ntz")).cast("bigint")
+    batch = F.substring(iso_instant("timestamp"), 1, 4).cast("bigint")
     return i.feed(spark, d).groupBy(batch.alias("batch")).agg(
         F.count("*").alias("total"), F.count_if(valid).alias("success"), F.count_if(~valid).alias("errors"))
 
@@ -354,7 +354,7 @@ SELECT {ORDER_LIST} FROM latest_by_id"""))
 def _(spark, d):
     # the store after the earlier half of the feed, replaced by what the later half brings
     feed = i.feed(spark, d)
-    half = F.unix_millis(F.lit("2000-01-01 00:00:00").cast("timestamp"))
+    half = 946_684_800_000
     earlier = views.last_arrival_per_order(feed.filter(F.col("timestamp") < half), ORDER_ARRIVAL)
     later = views.last_arrival_per_order(feed.filter(F.col("timestamp") >= half), ORDER_ARRIVAL)
     return store.upsert(earlier, later, ["order_id"]).select(*ORDER_COLUMNS)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orderlens.functions import codec, rules, specs
+from orderlens.functions.scalars import round_half_up
 from orderlens.operators import monitor, registry, store, timeline, views
 from orderlens.plans import inputs as i
 from orderlens.plans.aggregate_queries import ORDER_LIST, VALIDATION_STATS
@@ -15,7 +16,7 @@ from orderlens.schemas import ORDER_COLUMNS, TABLES
 from orderlens.session import fresh_dir
 from orderlens.sources import topics
 from orderlens.sources.feed import CUSTOMER_ARRIVAL, ORDER_ARRIVAL, table
-from orderlens.sources.tables import ViewStore, write_by_day
+from orderlens.sources.tables import ViewStore, read_by_time, write_by_time
 from orderlens.streaming import jobs
 
 # the feed is cut here into an earlier and a later batch
@@ -110,15 +111,12 @@ def _(spark, d):
 @query("src_06_decode_strict", check("raw", f"""
 SELECT order_id, a1, a2, total, {STRICT} AND a1 % 10 NOT IN (0, 1, 2, 3, 4) AS accepted FROM raw"""))
 def _(spark, d):
-    # a producer message must have whole numbers, so a fraction is refused as well
-    rows = damaged(i.uuid_feed(spark, d)).withColumnRenamed("order_id", "source_id")
-    whole = ~F.coalesce(F.get_json_object("value", "$.quantity").contains("."), F.lit(False))
-    out = codec.decode_orders(rows.withColumn("whole", whole), strict_money=False)
-    accepted = ~F.col("decode_error") & F.col("whole") & specs.strict_order_spec().valid()
-    source = i.uuid_feed(spark, d).select(F.col("order_id").alias("source_id"), "a1", "a2", "total")
-    verdicts = out.select("source_id", "a1", "a2", accepted.alias("accepted")).dropDuplicates(["source_id", "a1", "a2"])
-    return source.join(verdicts, ["source_id", "a1", "a2"]).select(
-        F.col("source_id").alias("order_id"), "a1", "a2", "total", "accepted")
+    rows = i.uuid_feed(spark, d).select(
+        damaged_value().alias("value"), "a1", "a2", F.col("order_id").alias("source_id"), F.col("total").alias("sent_total"))
+    out = codec.decode_strict(rows)
+    accepted = ~F.col("decode_error") & specs.strict_order_spec().valid()
+    return out.select(F.col("source_id").alias("order_id"), "a1", "a2", F.col("sent_total").alias("total"),
+                      accepted.alias("accepted"))
 
 
 def envelopes(orders):
@@ -275,8 +273,8 @@ def _(spark, d):
 @query("snk_06_timeline_table", check("entries", "SELECT * FROM entries"))
 def _(spark, d):
     path = fresh_dir(spark, "snk06")
-    write_by_day(i.entries(spark, d), path)
-    return spark.read.parquet(path).select(*ORDER_COLUMNS)
+    write_by_time(i.entries(spark, d), path)
+    return read_by_time(spark, path, ORDER_COLUMNS)
 
 
 @query("snk_07_processing_stats", check("feed", f"""
@@ -358,12 +356,13 @@ def _(spark, d):
 
 
 @query("snk_12_raw_orders", check("raw", f"""
-SELECT order_id, customer_id, product_id, quantity, CAST(unit_price AS DECIMAL(18,2)) AS unit_price,
+SELECT order_id, customer_id, product_id, quantity, CAST(floor(unit_price * 100 + 0.5) / 100 AS DECIMAL(18,2)) AS unit_price,
        CAST(total AS DECIMAL(18,2)) AS total, timestamp, status FROM raw WHERE {STRICT}"""))
 def _(spark, d):
     path = fresh_dir(spark, "snk12")
-    write_by_day(store.raw_rows(i.uuid_feed(spark, d)), path)
-    written = spark.read.schema(TABLES["orders"].schema).parquet(path)
+    priced = i.uuid_feed(spark, d).withColumn("unit_price", round_half_up("unit_price", 2))
+    write_by_time(store.raw_rows(priced), path)
+    written = read_by_time(spark, path, TABLES["orders"].schema.names)
     return written.withColumn("timestamp", F.unix_millis("timestamp"))
 
 
@@ -401,8 +400,8 @@ def _(spark, d):
 @query("snk_15_orders_by_timestamp", check("clean", f"SELECT {ORDER_LIST} FROM clean WHERE timestamp IS NOT NULL AND order_id IS NOT NULL"))
 def _(spark, d):
     path = fresh_dir(spark, "snk15")
-    write_by_day(store.by_timestamp(i.clean(spark, d)).select(*ORDER_COLUMNS), path)
-    return spark.read.parquet(path).select(*ORDER_COLUMNS)
+    write_by_time(store.by_timestamp(i.clean(spark, d)).select(*ORDER_COLUMNS), path)
+    return read_by_time(spark, path, ORDER_COLUMNS)
 
 
 # --- routing ----------------------------------------------------------------------------------------------------
@@ -480,14 +479,20 @@ def _(spark, d):
         "order_id", "quantity", "total", "status", "registered_at", "updated_at", "version")
 
 
+def two_deliveries(spark, d, label, run):
+    """The feed as two deliveries of a topic, each followed by a run of the stream from its checkpoint."""
+    root, checkpoint = fresh_dir(spark, label + "-log"), fresh_dir(spark, label + "-cp")
+    placed = i.messages(i.feed(spark, d))
+    for number, part in enumerate([F.unix_millis("timestamp") < CUT, F.unix_millis("timestamp") >= CUT]):
+        topics.write_log(placed.filter(part), root, topics.ORDERS, number)
+        run(topics.stream_log(spark, root), checkpoint)
+
+
 @query("str_03_stateful_customers", _stream_customers("placed"))
 def _(spark, d):
-    from orderlens.streaming.stateful import customer_stream
-    root = i.written_log(spark, i.feed(spark, d), "str03")
-    out = fresh_dir(spark, "str03-out")
-    changes = customer_stream(topics.stream_log(spark, root))
-    jobs.append_updates(changes, out, fresh_dir(spark, "str03-cp"), once=True).awaitTermination()
-    return jobs.latest_updates(spark, out, changes.schema, ["customer_id"])
+    kept = jobs.open_store(spark, fresh_dir(spark, "str03-views"))
+    two_deliveries(spark, d, "str03", lambda log, cp: jobs.views_job(log, kept, cp, once=True).awaitTermination())
+    return millis(kept.current("orders_by_customer"), "last_order_timestamp", "first_order_timestamp")
 
 
 @query("str_04_stateful_products", check("products", "SELECT * FROM products"))

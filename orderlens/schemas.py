@@ -47,15 +47,18 @@ TOPIC_RECORD = (
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A stored table: its columns, the columns that identify a row, and its folder layout."""
+    """A stored table: its columns and the columns that identify a row.
+
+    ``grows`` marks tables that get new keys for ever and hardly replace any; they are never rewritten.
+    """
 
     name: str
     schema: T.StructType
     keys: tuple[str, ...]
-    day_of: str | None = None
+    grows: bool = False
 
 
-def _table(name: str, keys: str, columns: str, day_of: str | None = None) -> TableSpec:
+def _table(name: str, keys: str, columns: str, grows: bool = False) -> TableSpec:
     # the "name TYPE" text is turned into a StructType without needing a live session
     kinds = {
         "STRING": T.StringType(), "INT": T.IntegerType(), "BIGINT": T.LongType(),
@@ -66,7 +69,7 @@ def _table(name: str, keys: str, columns: str, day_of: str | None = None) -> Tab
     for column in columns.split(","):
         label, kind = column.split()
         schema = schema.add(label, kinds[kind])
-    return TableSpec(name, schema, tuple(keys.split()), day_of)
+    return TableSpec(name, schema, tuple(keys.split()), grows)
 
 
 TABLES: dict[str, TableSpec] = {
@@ -74,7 +77,7 @@ TABLES: dict[str, TableSpec] = {
     for spec in [
         _table("orders", "order_id",
                "order_id STRING, customer_id INT, product_id STRING, quantity INT, unit_price MONEY, "
-               "total MONEY, timestamp TIMESTAMP, status STRING", day_of="timestamp"),
+               "total MONEY, timestamp TIMESTAMP, status STRING", grows=True),
         _table("statistics", "metric", "metric STRING, value BIGINT"),
         _table("orders_by_customer", "customer_id",
                "customer_id INT, total_orders BIGINT, total_spent DOUBLE, last_order_id STRING, "
@@ -84,7 +87,7 @@ TABLES: dict[str, TableSpec] = {
                "avg_quantity DOUBLE, last_order_timestamp TIMESTAMP"),
         _table("orders_timeline", "timestamp order_id",
                "timestamp TIMESTAMP, order_id STRING, customer_id INT, product_id STRING, quantity INT, "
-               "unit_price DOUBLE, total DOUBLE, status STRING", day_of="timestamp"),
+               "unit_price DOUBLE, total DOUBLE, status STRING", grows=True),
         _table("processing_stats", "processor_id",
                "processor_id STRING, processed_count BIGINT, error_count BIGINT, "
                "total_revenue_accepted DOUBLE, last_processed_timestamp TIMESTAMP"),
@@ -94,7 +97,7 @@ TABLES: dict[str, TableSpec] = {
                "validation_passed BOOLEAN"),
         _table("order_updates", "order_id version",
                "order_id STRING, version BIGINT, previous_status STRING, new_status STRING, "
-               "updated_at TIMESTAMP, update_reason STRING"),
+               "updated_at TIMESTAMP, update_reason STRING", grows=True),
         _table("validation_stats", "processor_id",
                "processor_id STRING, total_validated BIGINT, total_approved BIGINT, total_rejected BIGINT, "
                "timestamp TIMESTAMP"),

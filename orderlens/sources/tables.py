@@ -3,7 +3,7 @@
 Every batch writes its changed rows to ``<root>/<table>/changes/batch_id=N``, replacing what an earlier
 attempt at batch N left. A replayed batch reads only what batches before it wrote, so it gives the same
 result again. Every ``snapshot_every`` batches the whole table is written once, which bounds how many
-change folders a reader needs.
+change folders a reader needs; tables that only grow are not rewritten, their changes are the table.
 """
 
 from __future__ import annotations
@@ -13,8 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from orderlens.operators.ordering import input_bytes
 from orderlens.schemas import TABLES, TableSpec
 
+FOLDER = "period"
+DAY_GRAIN_BYTES = 256 << 30
+
 TOPIC_OFFSETS = TableSpec(
     "topic_offsets",
     StructType([StructField("topic", TABLES["orders"].schema["order_id"].dataType),
@@ -65,13 +69,14 @@ class ViewStore:
         """Upsert: the rows of batch ``batch_id``, one per key."""
         spec = self.tables[table]
         conform(rows, spec.schema).write.mode("overwrite").parquet(f"{self._changes(table)}/batch_id={batch_id}")
-        if batch_id % self.snapshot_every == 0:
+        if batch_id > 0 and batch_id % self.snapshot_every == 0 and not spec.grows:
             self._with_changes(table, batch_id).write.mode("overwrite").parquet(self._snapshot(table, batch_id))
 
     def _with_changes(self, table: str, upto: int) -> DataFrame:
         """State after batch ``upto``, from the last snapshot before it and the changes since."""
         spec = self.tables[table]
-        base = (upto - 1) // self.snapshot_every * self.snapshot_every if upto > 0 else -1
+        base = 0 if spec.grows else (upto - 1) // self.snapshot_every * self.snapshot_every
+        base = base if base > 0 else -1
         first = base + 1
         paths = [f"{self._changes(table)}/batch_id={i}" for i in range(first, upto + 1)]
         reader = self.spark.read.schema(StructType([*spec.schema, StructField("batch_id", LongType())]))
@@ -121,15 +126,25 @@ class ViewStore:
             self.write(name, batch_id, self.empty(name))
 
 
-def write_by_day(rows: DataFrame, path: str, time: str = "timestamp", order_id: str = "order_id") -> None:
-    """Rows in time order, one folder per day. Range partitions on (time, id) split a busy day over tasks."""
-    day = F.col(time).cast("date") if not isinstance(rows.schema[time].dataType, LongType) else F.timestamp_millis(
-        F.col(time)).cast("date")
+def write_by_time(rows: DataFrame, path: str, time: str = "timestamp", order_id: str = "order_id",
+                  grain: str | None = None) -> None:
+    """Rows in time order, one folder per day (or month, for tables too small to fill days).
+
+    Range partitions on (time, id) split a busy day over tasks and give each folder few files.
+    """
+    if grain is None:
+        grain = "day" if input_bytes(rows) >= DAY_GRAIN_BYTES else "month"
+    instant = F.timestamp_millis(time) if isinstance(rows.schema[time].dataType, LongType) else F.col(time)
+    folder = F.date_trunc(grain, instant).cast("date")
     (
-        rows.withColumn("day", day)
-        .repartitionByRange("day", time, order_id)
-        .sortWithinPartitions("day", time, order_id)
-        .write.mode("overwrite").partitionBy("day")
+        rows.withColumn(FOLDER, folder)
+        .repartitionByRange(time, order_id)
+        .sortWithinPartitions(time, order_id)
+        .write.mode("overwrite").partitionBy(FOLDER)
         .option("parquet.bloom.filter.enabled#order_id", "true")
         .parquet(path)
     )
+
+
+def read_by_time(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    return spark.read.parquet(path).select(*columns)
