@@ -131,12 +131,17 @@ SELECT e.order_id, e.customer_id, e.product_id,
        CASE WHEN r.order_id IS NULL THEN e.status ELSE r.status END AS status
 FROM (SELECT * FROM entries ORDER BY timestamp DESC, order_id LIMIT {n}) e
 LEFT JOIN cregistered r ON e.order_id = r.order_id"""),
-    "ring": ("gated", """
-SELECT * FROM (SELECT *, row_number() OVER (ORDER BY timestamp DESC, order_id DESC, a1 DESC, a2 DESC, total DESC,
-                                            quantity DESC) AS ring_position
-      FROM (SELECT *, row_number() OVER (PARTITION BY order_id
-                      ORDER BY timestamp DESC, a1 DESC, a2 DESC, total DESC, quantity DESC) AS k FROM gated)
-      WHERE k = 1) WHERE ring_position <= 100"""),
+    # the event-at-a-time fold over every row; an entry is (id number) * 10^12 + (place in arrival order)
+    "ring_rows": ("gated", """
+SELECT *, dense_rank() OVER (ORDER BY order_id) * 1000000000000
+          + row_number() OVER (ORDER BY timestamp, order_id, a1, a2, total, quantity) AS entry FROM gated"""),
+    "ring": ("ring_rows", """
+SELECT r.*, f.ring_position FROM (
+  SELECT unnest(line) AS entry, generate_subscripts(line, 1) AS ring_position FROM (
+    SELECT list_reduce(list([entry] ORDER BY entry % 1000000000000), lambda line, new:
+             CASE WHEN list_contains(list_transform(line, lambda e: e // 1000000000000), new[1] // 1000000000000)
+                  THEN line ELSE list_concat(new, line)[1:100] END, CAST([] AS BIGINT[])) AS line FROM ring_rows)) f
+JOIN ring_rows r ON r.entry = f.entry"""),
     "raw": ("clean", """
 SELECT concat(substr(h,1,8),'-',substr(h,9,4),'-',substr(h,13,4),'-',substr(h,17,4),'-',substr(h,21,12)) AS order_id,
        customer_id, product_id, quantity, unit_price, total, timestamp, status, a1, a2
