@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from orderlens.functions.rules import RULE_RESULTS, VALIDATION_RESULT
 from orderlens.schemas import ORDER_COLUMNS
 
 _CORRUPT = "_corrupt"
@@ -18,6 +19,15 @@ _LONG_LIMIT = 9_223_372_036_854_775_807
 _KINDS = {"order_id": "STRING", "product_id": "STRING", "status": "STRING"}
 
 
+def _renamed(kind: T.DataType, rename) -> T.DataType:
+    """The same type with other field names; casting to it renames nested fields without touching values."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(rename(f.name), _renamed(f.dataType, rename)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_renamed(kind.elementType, rename), kind.containsNull)
+    return kind
+
+
 def _kebab(name: str) -> str:
     return name.replace("_", "-")
 
@@ -102,9 +112,7 @@ def decode_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
         *kept, *[c for c in ["arrival_time"] if arrival],
         *[v.alias(k) for k, v in _order_fields(F.col("e.order")).items()],
         verdict["passed"].alias("passed"),
-        F.transform(verdict["rules"], lambda r: F.struct(
-            r["rule-name"].alias("rule_name"), r["passed"].alias("passed"), r["message"].alias("message"),
-        )).alias("rules"),
+        verdict["rules"].cast(RULE_RESULTS).alias("rules"),
         corrupt.alias("decode_error"),
         (~corrupt & F.col("e.order").isNotNull() & F.coalesce(verdict["passed"], F.lit(False))).alias("usable"),
     )
@@ -126,12 +134,7 @@ def result_json(result: str = "validation_result") -> Column:
 
 
 def kebab_result(result: str) -> Column:
-    rules = F.transform(F.col(f"{result}.rules"), lambda r: F.struct(
-        r["rule_name"].alias("rule-name"), r["passed"].alias("passed"), r["message"].alias("message")))
-    return F.struct(
-        F.col(f"{result}.order_id").alias("order-id"), F.col(f"{result}.passed").alias("passed"),
-        rules.alias("rules"), F.col(f"{result}.message").alias("message"),
-    )
+    return F.col(result).cast(_renamed(VALIDATION_RESULT, _kebab))
 
 
 def envelope_json(at: Column) -> Column:

@@ -61,7 +61,7 @@ SELECT order_id, customer_id, product_id, quantity, unit_price, total,
        CASE WHEN {RULES} THEN 'accepted' ELSE 'denied' END AS status, timestamp AS registered_at,
        CAST(NULL AS BIGINT) AS updated_at, 1 AS version, {RULES} AS validation_passed FROM gated"""))
 def _(spark, d):
-    return registry.new_registered(i.gated(spark, d), rules.rule_verdict())
+    return registry.new_registered(i.gated(spark, d), rules.all_passed())
 
 
 @query("prj_06_order_update", check("cupdates", "SELECT * FROM cupdates"))
@@ -194,7 +194,7 @@ def _rule_query(number: int, name: str, holds: str, message: str) -> None:
 SELECT order_id, a1, a2, total, '{name}' AS rule_name, {holds} AS passed,
        CASE WHEN {holds} THEN NULL ELSE {message} END AS message FROM feed"""))
     def _(spark, d):
-        result = rules.default_rules()[number - 1]()
+        result = rules.default_rules()[number - 1].result()
         return i.feed(spark, d).select("order_id", "a1", "a2", "total", result.alias("r")).select(
             "order_id", "a1", "a2", "total", "r.*")
 
@@ -221,7 +221,7 @@ SELECT order_id, a1, a2, total, concat_ws(',', {_NAMES}) AS failed_rules,
        CASE WHEN {RULES} THEN NULL ELSE concat('Failed rules: ', concat_ws(', ', {_NAMES})) END AS summary FROM feed"""))
 def _(spark, d):
     return rules.validate_orders(i.feed(spark, d)).select(
-        "order_id", "a1", "a2", "total", F.array_join(rules.failed_rules(), ",").alias("failed_rules"),
+        "order_id", "a1", "a2", "total", F.array_join(rules.stored_failed_rules(), ",").alias("failed_rules"),
         rules.failure_summary().alias("summary"))
 
 
@@ -246,7 +246,7 @@ SELECT count(*) AS orders, count(*) FILTER (quantity BETWEEN 5 AND 40 AND total
        AND abs(total - quantity * unit_price) <= 0.1) AS approved FROM gated"""))
 def _(spark, d):
     config = rules.RuleConfig(min_quantity=5, max_quantity=40, min_total=1000.0, max_total=50000.0, price_tolerance=0.1)
-    verdict = rules.rule_verdict(rules.default_rules(config))
+    verdict = rules.all_passed(rules.default_rules(config))
     return i.gated(spark, d).agg(F.count("*").alias("orders"), F.count_if(verdict).alias("approved"))
 
 
@@ -261,9 +261,7 @@ def _(spark, d):
 SELECT 'even-quantity' AS rule_name, count(*) FILTER (quantity % 2 <> 0) AS failures FROM gated
 UNION ALL SELECT 'maximum-total', count(*) FILTER (total > 100000.0) FROM gated"""))
 def _(spark, d):
-    def even_quantity():
-        return rules.rule("even-quantity", F.col("quantity") % 2 == 0, F.lit("Quantity must be even"))
-
+    even_quantity = rules.Rule("even-quantity", F.col("quantity") % 2 == 0, F.lit("Quantity must be even"))
     return rules.failures_per_rule(i.feed(spark, d), [rules.default_rules()[3], even_quantity])
 
 
