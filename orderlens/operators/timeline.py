@@ -12,7 +12,7 @@ each chunk starting from the ring the chunk before it left.
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -23,51 +23,45 @@ RING_SIZE = 100
 _POSITION, _EXACT = "ring_position", "ring_exact"
 
 
-def _has_settling_run(ids: Iterable, length: int) -> bool:
-    """Whether some stretch of ``length`` ids, consecutive repeats counted once, has no id twice."""
-    last_seen: dict = {}
-    start = at = 0
-    previous = object()
-    for value in ids:
-        if value == previous:
-            continue
-        previous = value
-        start = max(start, last_seen.get(value, -1) + 1)
-        last_seen[value] = at
-        at += 1
-        if at - start >= length:
-            return True
-    return False
-
-
-def replay(ring: deque, rows: Iterator[tuple], size: int, id_at: int) -> deque:
-    """Replay arrivals (oldest first) onto a ring held newest first."""
-    members = {row[id_at] for row in ring}
-    for row in rows:
-        if row[id_at] in members:
-            continue
-        ring.appendleft(row)
-        members.add(row[id_at])
-        if len(ring) > size:
-            members.discard(ring.pop()[id_at])
-    return ring
-
-
 def _fold_task(columns: list[str], size: int, start: list[tuple], tail_length: int | None):
+    """The task's work. Everything it needs is defined inside, so executors need not have this package."""
     id_at = columns.index("order_id")
 
+    def has_settling_run(ids: list) -> bool:
+        """Whether some run of 3 * size ids, consecutive repeats counted once, holds no id twice."""
+        last_seen: dict = {}
+        begin = at = 0
+        previous = object()
+        for value in ids:
+            if value == previous:
+                continue
+            previous = value
+            begin = max(begin, last_seen.get(value, -1) + 1)
+            last_seen[value] = at
+            at += 1
+            if at - begin >= 3 * size:
+                return True
+        return False
+
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ring, ids, seen = deque(start), [], 0
+        members = {row[id_at] for row in ring}
         for batch in batches:
             seen += len(batch)
             if tail_length is not None:
                 ids.extend(batch["order_id"])
             plain = batch[columns].astype(object).where(batch[columns].notna(), None)
-            ring = replay(ring, plain.itertuples(index=False, name=None), size, id_at)
+            for row in plain.itertuples(index=False, name=None):
+                if row[id_at] in members:
+                    continue
+                ring.appendleft(row)
+                members.add(row[id_at])
+                if len(ring) > size:
+                    members.discard(ring.pop()[id_at])
         out = pd.DataFrame(list(ring), columns=columns)
-        out[_POSITION] = range(1, len(out) + 1)
+        out["ring_position"] = range(1, len(out) + 1)
         # a tail shorter than asked for is the whole input, and so exact as well
-        out[_EXACT] = tail_length is None or seen < tail_length or _has_settling_run(ids, 3 * size)
+        out["ring_exact"] = tail_length is None or seen < tail_length or has_settling_run(ids)
         yield out
 
     return fold

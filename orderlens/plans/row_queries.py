@@ -11,7 +11,7 @@ from orderlens.plans.aggregate_queries import DECISIONS, ORDER_LIST, decisions
 from orderlens.plans.catalog import query
 from orderlens.plans.checks import GATE, ORDER_ARRIVAL as OA, RULES, check
 from orderlens.schemas import ORDER_COLUMNS
-from orderlens.sources.feed import table
+from orderlens.sources.feed import spread, table
 
 # --- projections -------------------------------------------------------------------------------------
 
@@ -447,7 +447,7 @@ def _cut(n):
 
 @query("sca_04_truncate", f"SELECT doc_id, {_cut(80)} AS t80, {_cut(3)} AS t3 FROM documents")
 def _(spark, d):
-    return table(spark, d, "documents").select(
+    return documents(spark, d).select(
         "doc_id", scalars.truncate("text", 80).alias("t80"), scalars.truncate("text", 3).alias("t3"))
 
 
@@ -464,6 +464,10 @@ def _(spark, d):
 _TOKENS = "list_filter(string_split_regex(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: {})"
 
 
+def documents(spark, d):
+    return spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+
+
 def tokens():
     return F.split("text", r"[ \t\n\x0B\f\r]+")
 
@@ -471,7 +475,7 @@ def tokens():
 @query("sca_06_valid_email", f"""
 SELECT doc_id, len({_TOKENS.format("regexp_full_match(x, '.+@.+[.].+')")}) AS emails FROM documents""")
 def _(spark, d):
-    return table(spark, d, "documents").select(
+    return documents(spark, d).select(
         "doc_id", F.size(F.filter(tokens(), scalars.valid_email)).cast("bigint").alias("emails"))
 
 
@@ -484,7 +488,7 @@ SELECT doc_id, len(ints) AS int_count, coalesce(list_sum(ints), 0) AS int_sum, d
 def _(spark, d):
     ints = F.array_compact(F.transform(tokens(), scalars.try_parse_int))
     doubles = F.array_compact(F.transform(tokens(), scalars.try_parse_double))
-    return table(spark, d, "documents").select(
+    return documents(spark, d).select(
         "doc_id", F.size(ints).cast("bigint").alias("int_count"),
         F.aggregate(ints, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("int_sum"),
         F.size(doubles).cast("bigint").alias("double_count"))

@@ -80,10 +80,14 @@ def fan_out(messages: DataFrame, topics: Sequence[str]) -> DataFrame:
 
 
 def write_log(records: DataFrame, root: str, topic: str, batch: int = 0) -> None:
-    """Write one batch of a topic (Kafka columns). Writing a batch again replaces it."""
+    """Write one batch of a topic (Kafka columns). Writing a batch again replaces it.
+
+    A topic has few partitions, so the files are spread by (partition, offset) and not by partition.
+    """
     names = [f.name for f in TOPIC_RECORD]
     (
         records.withColumn("topic", F.lit(topic)).select(*names)
+        .repartition("partition", "offset")
         .sortWithinPartitions("partition", "offset")
         .write.mode("overwrite").parquet(f"{root}/{topic}/batch-{batch:012d}")
     )
