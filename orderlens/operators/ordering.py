@@ -3,8 +3,9 @@
 Several folds need "the previous row of this key in arrival order". The plain form is a window
 partitioned by the key, which puts every row of one key in one task. Here the keys that hold too many
 rows are found first by a heavy-hitter sketch (one mergeable aggregate over the key column). Their
-rows are range-partitioned by (key, arrival, tie-break) into segments and written to the checkpoint
-folder once, so that the cut is fixed whatever executor is lost later. Windows then run per
+rows are written to the checkpoint folder with a tie-break, range-partitioned from there by (key,
+arrival, tie-break) into segments, and written again with their segment, so that neither tie-break nor
+cut can come out differently when a lost executor's work is repeated. Windows then run per
 (key, segment), and a table of one row per segment carries the state across segment borders.
 Rows of the other keys all have segment -1 and take the plain window in the same plan.
 """
@@ -140,9 +141,9 @@ def arrange(df: DataFrame, key: str, order: Sequence[str], policy: SkewPolicy =
         return Arranged(df, key, list(order))
     ensure_checkpoint_dir(df.sparkSession)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    hot_rows = df.filter(is_hot).withColumn(TIE, F.monotonically_increasing_id())
-    total = hot_rows.count()
-    segments = max(2, -(-total // policy.rows_per_segment))
+    # the tie-break depends on row order, which a repeated task may see differently: fix it before it is used
+    hot_rows = df.filter(is_hot).withColumn(TIE, F.monotonically_increasing_id()).checkpoint()
+    segments = max(2, -(-hot_rows.count() // policy.rows_per_segment))
     # equal arrivals (exact copies) still spread over segments, by the tie-break
     cut = (
         hot_rows.repartitionByRange(segments, key, *order, TIE)

@@ -23,6 +23,11 @@ def gated(df: DataFrame) -> DataFrame:
     return df.filter(order_spec().valid())
 
 
+def _customer_columns(orders: DataFrame, arrival: Sequence[str]) -> DataFrame:
+    """What the customer view reads; hot rows are written to disk, so nothing else should come along."""
+    return orders.select(*dict.fromkeys(["customer_id", "order_id", "timestamp", "total", *arrival]))
+
+
 def repeat_guard(orders: DataFrame, arrival: Sequence[str], policy: SkewPolicy = SkewPolicy(),
                  hot: list | None = None) -> Arranged:
     """Adds ``kept``: false iff the order id equals that of the customer's previous arriving order."""
@@ -35,7 +40,7 @@ def repeat_guard(orders: DataFrame, arrival: Sequence[str], policy: SkewPolicy =
 def customer_stats(orders: DataFrame, arrival: Sequence[str], policy: SkewPolicy = SkewPolicy(),
                    hot: list | None = None) -> DataFrame:
     """Per-customer statistics; "last" and "first" follow arrival, not the largest timestamp."""
-    placed = repeat_guard(orders, arrival, policy, hot)
+    placed = repeat_guard(_customer_columns(orders, arrival), arrival, policy, hot)
     latest = F.max_by(F.struct("order_id", "timestamp"), placed.order_struct)
     grouped = (
         placed.rows.filter("kept").groupBy("customer_id")
@@ -57,7 +62,7 @@ def customer_stats(orders: DataFrame, arrival: Sequence[str], policy: SkewPolicy
 def customer_totals(orders: DataFrame, arrival: Sequence[str], policy: SkewPolicy = SkewPolicy(),
                     hot: list | None = None) -> DataFrame:
     """Only the counters of the customer view, for rankings and global sums."""
-    placed = repeat_guard(orders, arrival, policy, hot)
+    placed = repeat_guard(_customer_columns(orders, arrival), arrival, policy, hot)
     return placed.rows.filter("kept").groupBy("customer_id").agg(
         F.count("*").alias("total_orders"), money_sum("total").alias("total_spent"),
     )
@@ -207,7 +212,7 @@ def fold_customers(orders: DataFrame, arrival: Sequence[str], state: DataFrame,
     Only the first order of a customer in the batch depends on the stored last order id, so the batch is
     reduced to one row per customer before it meets the state.
     """
-    placed = repeat_guard(orders, arrival, policy, hot)
+    placed = repeat_guard(_customer_columns(orders, arrival), arrival, policy, hot)
     later = F.col("kept") & (F.col("rn") > 1)
     seen = F.struct("order_id", "timestamp", "total")
     reduced = placed.rows.groupBy("customer_id").agg(

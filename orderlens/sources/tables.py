@@ -128,9 +128,10 @@ class ViewStore:
 
 def write_by_time(rows: DataFrame, path: str, time: str = "timestamp", order_id: str = "order_id",
                   grain: str | None = None) -> None:
-    """Rows in time order, one folder per day (or month, for tables too small to fill days).
+    """Rows in one folder per day (or month, for tables too small to fill days), in time order within a file.
 
-    Range partitions on (time, id) split a busy day over tasks and give each folder few files.
+    The rebalance gives each folder few files, and splits a folder too large for one task by the shuffle's
+    map outputs, which works for copies of one row too.
     """
     if grain is None:
         grain = "day" if input_bytes(rows) >= DAY_GRAIN_BYTES else "month"
@@ -138,8 +139,8 @@ def write_by_time(rows: DataFrame, path: str, time: str = "timestamp", order_id:
     folder = F.date_trunc(grain, instant).cast("date")
     (
         rows.withColumn(FOLDER, folder)
-        .repartitionByRange(time, order_id)
-        .sortWithinPartitions(time, order_id)
+        .hint("rebalance", FOLDER)
+        .sortWithinPartitions(FOLDER, time, order_id)
         .write.mode("overwrite").partitionBy(FOLDER)
         .option("parquet.bloom.filter.enabled#order_id", "true")
         .parquet(path)
