@@ -2,7 +2,7 @@
 
 Several folds need "the previous row of this key in arrival order". The plain form is a window
 partitioned by the key, which puts every row of one key in one task. Here the keys that hold too many
-rows are found first by a heavy-hitter sketch (one mergeable aggregate over the key column). Their
+rows are found first by a heavy-hitter sketch (mergeable aggregates over the key column). Their
 rows are written to the checkpoint folder with a tie-break, range-partitioned from there by (key,
 arrival, tie-break) into segments, and written again with their segment, so that neither tie-break nor
 cut can come out differently when a lost executor's work is repeated. Windows then run per
@@ -21,6 +21,7 @@ from orderlens.session import ensure_checkpoint_dir
 
 SEGMENT, TIE = "_segment", "_tie"
 PLAIN_SEGMENT = -1
+SKETCH_GROUPS = 256
 
 
 @dataclass(frozen=True)
@@ -30,7 +31,7 @@ class SkewPolicy:
     min_rows: int = 2_000_000        # a key with fewer rows sorts comfortably in one task
     rows_per_segment: int = 1_000_000
     sketch_items: int = 10_000       # keys tracked by the sketch; those above ~0.04 % of rows are found
-    small_input_bytes: int = 256 << 20  # below this no key can be too large for one task
+    small_input_bytes: int = 64 << 20  # below this no key can be too large for one task
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -48,9 +49,16 @@ def hot_keys(df: DataFrame, key: str, policy: SkewPolicy) -> list:
     if input_bytes(df) < policy.small_input_bytes:
         return []
     tracked = policy.sketch_items
-    found = df.filter(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k(`{key}`, {min(1000, tracked)}, {tracked})").alias("items")
-    ).first()
+    # merged in two steps, as one task could not take the sketches of all input splits
+    partial = (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("split_group"))
+        .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch"))
+    )
+    found = partial.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")).select(
+        F.expr(f"approx_top_k_estimate(sketch, {min(1000, tracked)})").alias("items")).first()
+    if found["items"] is None:
+        return []
     return [entry["item"] for entry in found["items"] if entry["count"] >= policy.min_rows]
 
 

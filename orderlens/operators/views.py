@@ -252,7 +252,9 @@ def fold_products(orders: DataFrame, arrival: Sequence[str], state: DataFrame) -
 
 
 def fold_counters(fresh: DataFrame, state: DataFrame, key: str, sums: Sequence[str], latest: str) -> DataFrame:
-    """Add one-row counters to the stored ones."""
+    """Add one-row counters to the stored ones; amounts of money stay cents-exact."""
     columns = [key, *sums, latest]
     both = fresh.select(*columns).unionByName(state.select(*columns))
-    return both.groupBy(key).agg(*[F.sum(c).alias(c) for c in sums], F.max(latest).alias(latest))
+    kinds = {f.name: f.dataType.typeName() for f in state.schema}
+    added = {c: _cents(F.sum(c)) if kinds[c] == "double" else F.sum(c) for c in sums}
+    return both.groupBy(key).agg(*[a.alias(c) for c, a in added.items()], F.max(latest).alias(latest))

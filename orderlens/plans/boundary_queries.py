@@ -291,8 +291,7 @@ def _(spark, d):
         fresh = views.processing_stats(batch, "query-processor")
         kept.write("processing_stats", number,
                    views.fold_counters(fresh, state, "processor_id", sums, "last_processed_timestamp"))
-    return millis(kept.current("processing_stats"), "last_processed_timestamp").withColumn(
-        "total_revenue_accepted", F.round("total_revenue_accepted", 2))
+    return millis(kept.current("processing_stats"), "last_processed_timestamp")
 
 
 @query("snk_08_save_all_views", check("customers products entries", """

@@ -14,33 +14,36 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from orderlens.operators.ordering import SkewPolicy, arrange
 from orderlens.schemas import TOPIC_RECORD
 
-# fixed values: the topics and the reader's settings
+# fixed values: the topics and their partitions
 ORDERS, REGISTRY = "orders", "registry"
 PARTITIONS = 3
-MAX_RECORDS_PER_POLL = 500
 
 
-def kafka_options(servers: str, topics: Sequence[str], starting: str = "earliest") -> dict[str, str]:
-    """Options of the Kafka reader: all topics in one subscription, from the start on the first run."""
-    return {
+def kafka_options(servers: str, topics: Sequence[str], starting: str = "earliest",
+                  max_records: int | None = None, since_millis: int | None = None) -> dict[str, str]:
+    """Options of the Kafka reader: all topics in one subscription, from the start on the first run.
+
+    ``max_records`` bounds a micro-batch (the original reads at most 500 per poll); ``since_millis`` starts at a
+    time instead of at ``starting``. A new checkpoint with either is a replay.
+    """
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
-        "startingOffsets": starting,
-        "maxOffsetsPerTrigger": str(MAX_RECORDS_PER_POLL),
         "failOnDataLoss": "false",
     }
+    if since_millis is None:
+        options["startingOffsets"] = starting
+    else:
+        options["startingTimestamp"] = str(since_millis)
+    if max_records:
+        options["maxOffsetsPerTrigger"] = str(max_records)
+    return options
 
 
-def read_kafka(spark: SparkSession, servers: str, topics: Sequence[str], starting: str = "earliest",
-               streaming: bool = True) -> DataFrame:
-    """Needs the spark-sql-kafka package on the class path."""
-    options = kafka_options(servers, topics, starting)
-    if streaming:
-        raw = spark.readStream.format("kafka").options(**options).load()
-    else:
-        options.pop("maxOffsetsPerTrigger")
-        raw = spark.read.format("kafka").options(**options).load()
-    return as_records(raw)
+def read_kafka(spark: SparkSession, servers: str, topics: Sequence[str], streaming: bool = True, **options) -> DataFrame:
+    """Needs the spark-sql-kafka package on the class path. ``options`` as in :func:`kafka_options`."""
+    reader = spark.readStream if streaming else spark.read
+    return as_records(reader.format("kafka").options(**kafka_options(servers, topics, **options)).load())
 
 
 def as_records(raw: DataFrame) -> DataFrame:
