@@ -40,13 +40,21 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def no_hot_keys_if_small(df: DataFrame, policy: SkewPolicy) -> list | None:
+    """The ``hot`` argument for work on an input: no hot keys when it is small, else None (look for them).
+
+    A micro-batch asks this of its messages, before they are decoded and cached.
+    """
+    return [] if input_bytes(df) < policy.small_input_bytes else None
+
+
 def hot_keys(df: DataFrame, key: str, policy: SkewPolicy) -> list:
     """The keys holding at least ``policy.min_rows`` rows, by a frequent-items sketch.
 
     The list is bounded by row count / min_rows. Either path gives the same result for every key, so the
     estimate decides only how the work is spread.
     """
-    if input_bytes(df) < policy.small_input_bytes:
+    if no_hot_keys_if_small(df, policy) is not None:
         return []
     tracked = policy.sketch_items
     # merged in two steps, as one task could not take the sketches of all input splits
