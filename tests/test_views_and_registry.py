@@ -312,3 +312,14 @@ def test_upsert_and_typed(spark):
     assert sorted(tuple(r) for r in store.upsert(old, new, ["k"]).collect()) == [(1, "a"), (2, "c"), (3, "d")]
     typed = store.typed(spark.createDataFrame([(None, None, None)], "n int, x double, t timestamp"), ["n"], ["x"], ["t"])
     assert tuple(typed.first()) == (0, 0.0, None)
+
+
+def test_history_and_ranking(spark):
+    updates = spark.createDataFrame([("A", 2), ("A", 3), ("B", 2)], "order_id string, version long")
+    assert [r["version"] for r in monitor.history(updates, "A").collect()] == [3, 2]
+    stats = spark.createDataFrame([("P1", 5.0), ("P2", None), ("P3", 9.0)], "product_id string, avg_quantity double")
+    ranked = monitor.ranking(stats, "avg_quantity", "product_id").collect()
+    assert [r["product_id"] for r in ranked] == ["P3", "P1", "P2"]
+    lowest = monitor.ranking(stats, "avg_quantity", "product_id", descending=False, n=2).collect()
+    assert [(r["product_id"], r["rank"]) for r in lowest] == [("P2", 1), ("P1", 2)]
+    assert [r["product_id"] for r in monitor.ranking(stats, "product_id", "product_id").collect()] == ["P3", "P2", "P1"]
