@@ -54,9 +54,9 @@ WITH b AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
 p AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + 9], ' ') AS g
       FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM b WHERE len(w) > 0)),
 d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
-at AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
-occ AS (SELECT at.doc_id, at.i, p.size, p.item_id FROM (SELECT DISTINCT size FROM p) z CROSS JOIN at
-        JOIN p ON p.size = z.size AND at.i + z.size - 1 <= len(at.w) AND p.g = array_to_string(at.w[at.i:at.i + z.size - 1], ' ')),
+pos AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+occ AS (SELECT pos.doc_id, pos.i, p.size, p.item_id FROM (SELECT DISTINCT size FROM p) z CROSS JOIN pos
+        JOIN p ON p.size = z.size AND pos.i + z.size - 1 <= len(pos.w) AND p.g = array_to_string(pos.w[pos.i:pos.i + z.size - 1], ' ')),
 hit AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS word FROM occ) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS listed
           FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM occ) GROUP BY doc_id)
