@@ -2,12 +2,14 @@
 
 1. A document's shingles are hashed; HASHES minima of affine hashes are its signature, cut into bands. Texts with the same
    words are one node (the smallest doc_id), so groups of exact copies cost one row each.
-2. Documents that share a band share a bucket. A bucket is not turned into all its pairs: each round takes a few pivots for
-   a bucket (the same ones in every bucket of a group, as the order is global), and compares the other members with them,
-   unless both are in one component already. Estimates from signatures drop pairs that are far off (six deviations below
+2. Documents that share a band share a bucket. One whose shingles are too often found in no other candidate cannot reach the
+   threshold with any of them and leaves (in a family of edited copies, all that were edited much). A bucket is not turned
+   into all its pairs: each round takes a few pivots for a bucket, the same ones in every bucket of a group, as the order is
+   global: first those with most company, which are the originals of a family. The other members are compared with them,
+   unless both are in one component already. Estimates from signatures drop pairs that are far off (five deviations below
    the threshold); the rest is confirmed on the full sets.
 3. Links go into alternating large-star and small-star steps. Pivots have met everyone in their bucket and leave it. Rounds
-   go on, with four times the pivots each, until every bucket's members are in one component: no link is lost, and groups
+   go on, with eight times the pivots each, until every bucket's members are in one component: no link is lost, and groups
    of near copies end after a round or two. Only families of similar texts below the threshold cost more rounds.
 
 With 32 bands of 6 rows a pair of similarity 0.85 is missed with probability 3e-7, one of 0.8 with 6e-5.
@@ -28,7 +30,9 @@ from .common import RangeHash, Workspace, mixed, text_batches
 
 BANDS, ROWS = 32, 6
 WORDS = 5
-FIRST_PIVOTS = 2
+FIRST_PIVOTS = 4
+#: A member of a bucket: with the number of its shingles that other candidates have too, and of its fellow members in all buckets.
+ENTRY = ["bucket", "doc_id", "n_shingles", "common", "company"]
 
 _HASHES = RangeHash()
 
@@ -161,25 +165,43 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS, band
 
     entries = signed_nodes.select(F.explode("bands").alias("bucket"), "doc_id", "n_shingles")
     crowded = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = space.store(entries.join(crowded, "bucket", "left_semi"))
-    candidates = signed_nodes.select("doc_id", "content").join(buckets.select("doc_id").distinct(), "doc_id", "left_semi")
+    shared_buckets = space.store(entries.join(crowded, "bucket"))
+    company = space.store(shared_buckets.groupBy("doc_id").agg(F.sum("n").alias("company")))
+    candidates = signed_nodes.select("doc_id", "content").join(company, "doc_id", "left_semi")
     sets = space.store(shingle_sets(docs.join(candidates, "doc_id", "left_semi"), words).join(
         candidates, ["doc_id", "content"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "shingles"))
     signs = signed_nodes.select("doc_id", F.col("n_shingles").alias("n"), "sig")
-    floor = int(bands * rows * max(0.0, percent / 100 - 6 * (percent / 100 * (1 - percent / 100) / (bands * rows)) ** 0.5))
-
+    floor = int(bands * rows * max(0.0, percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / (bands * rows)) ** 0.5))
+
+    # shingles that no other candidate has; what is left must make up the threshold
+    alone = sets.select("doc_id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).where("n = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
+    able = company.join(alone, "doc_id", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    members_left = shared_buckets.drop("n").join(able, "doc_id").withColumn("common", F.col("n_shingles") - F.col("alone"))
+    buckets = space.store(members_left.where(100 * F.col("common") >= percent * F.col("n_shingles")).select(*ENTRY))
+    space.drop(shared_buckets)
     links, component, pivots = None, None, first_pivots
     while not buckets.isEmpty():
         labelled = space.store(_labelled(buckets, component))
-        open_ones = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        active = labelled.join(open_ones.select("bucket"), "bucket", "left_semi")
-        order = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("doc_id"), "doc_id", "n_shingles"))
+        open_ones = labelled.groupBy("bucket").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.min("n_shingles").alias("least")).where("low < high")
+        # a member shares `common` shingles at most, and every other member has at least `least`
+        able = (F.col("least") < F.col("common")) | (100 * F.col("common") >= percent * (F.col("n_shingles") + F.col("least") - F.col("common")))
+        active = labelled.join(open_ones.select("bucket", "least"), "bucket").where(able).drop("least")
+        order = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("company"), "doc_id"))
         chosen = space.store(active.withColumn("rank", order).where(F.col("rank") <= pivots).drop("rank"))
         left, right = active.alias("x"), chosen.alias("p")
+        most = F.least("x.common", "p.common")
         pairs = left.join(right, F.col("x.bucket") == F.col("p.bucket")).where(
             (F.col("x.component") != F.col("p.component")) & (F.col("x.doc_id") != F.col("p.doc_id"))
-            & (100 * F.least("x.n_shingles", "p.n_shingles") >= percent * F.greatest("x.n_shingles", "p.n_shingles"))
+            & (100 * most >= percent * (F.col("x.n_shingles") + F.col("p.n_shingles") - most))
         ).select(F.least("x.doc_id", "p.doc_id").alias("a"), F.greatest("x.doc_id", "p.doc_id").alias("b")).distinct()
+        pairs = space.store(pairs)
+        rest = space.store(active.select(*ENTRY).join(chosen.select("bucket", "doc_id"), ["bucket", "doc_id"], "left_anti"))
+        space.drop(buckets, labelled, chosen)
+        buckets, pivots = rest, pivots * 8
+        if pairs.isEmpty():
+            continue
         close = pairs.join(signs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a"), F.col("n").alias("n_a")), "a").join(
             signs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b"), F.col("n").alias("n_b")), "b").where(
             F.aggregate(F.zip_with("sig_a", "sig_b", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, x: s + x) >= floor)
@@ -189,10 +211,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS, band
             100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
         found = space.store(linked)
         links = links.union(found) if links else found
-        rest = space.store(active.select("bucket", "doc_id", "n_shingles").join(
-            chosen.select("bucket", "doc_id", "n_shingles"), ["bucket", "doc_id", "n_shingles"], "left_anti"))
-        space.drop(buckets, labelled, chosen)
-        buckets, pivots = rest, pivots * 4
+        space.drop(pairs)
         if not found.isEmpty():
             component = components(space, links)
     placed = _labelled(whole.join(nodes, "content").select("doc_id", "node"), component, "node").select(

@@ -194,7 +194,7 @@ def _compared(length: int):
 
 
 def _spans_of_group(rows: list[tuple], length: int) -> Iterator[pa.RecordBatch]:
-    rows = list({(r[0], r[1]): r for r in rows}.values())    # repeated rows of the table bring a stretch twice
+    rows = list({r[:4]: r for r in rows}.values())    # repeated rows of the table bring a stretch twice
     hashed = [_hashed(before, after, data, length) for _, _, before, after, _, data in rows]
     values, counts = np.unique(np.concatenate([h for _, h in hashed]), return_counts=True)
     shared = values[counts > 1]
