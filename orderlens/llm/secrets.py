@@ -21,7 +21,7 @@ HEX = r"[0-9a-f]{32,}"
 ASSIGN_LENGTH = 8
 #: Runs that the models judge, and the ratio per step above which one is taken for random.
 RUN = r"[A-Za-z0-9+/_=-]{20,}"
-RATIO = 1.0
+RATIO = 0.6
 #: Documents, and made-up random strings, that the models learn from (about; chosen by hash of doc_id).
 SAMPLE_DOCUMENTS, SAMPLE_STRINGS = 3000, 4000
 
@@ -72,7 +72,7 @@ def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS, sample_stri
     made = spark.range(sample_strings).select(F.explode(spelled).alias("word"))
     counts = _pairs(ordinary).withColumn("label", F.lit(0)).union(_pairs(made.union(caught)).withColumn("label", F.lit(1)))
     size = len(ALPHABET)
-    tables = np.full((2, size, size), 0.5)
+    tables = np.full((2, size, size), 0.05)
     for row in counts.collect():     # two labels, pairs of one alphabet
         first, second = map(ALPHABET.find, row["pair"])
         if first >= 0 and second >= 0:

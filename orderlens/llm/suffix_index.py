@@ -92,7 +92,7 @@ class IndexFamily:
         own = array.groupBy("suffix").agg(F.count("*").alias("n"))
         found = own.where("n > 1").select("suffix")
         for level in self.levels.values():
-            found = found.union(own.select("suffix").join(level.select("suffix"), "suffix", "left_semi"))
+            found = found.union(own.select("suffix").join(level.select("suffix").distinct(), "suffix", "left_semi"))
         self.matches.append(self.space.store(found.distinct()))
         size = 0
         while size in self.levels:
@@ -113,7 +113,8 @@ class IndexFamily:
         return rows.join(keys.distinct(), "suffix", "left_semi")
 
     def _sorted(self, rows: DataFrame) -> DataFrame:
-        return self.space.store(rows.repartition("suffix").sortWithinPartitions("suffix", "stretch"))
+        order = ["suffix", "stretch", "content", "position"]     # a suffix of very many texts is cut by their order
+        return self.space.store(rows.repartitionByRange(*order).sortWithinPartitions(*order))
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, seed: int = SEED, batches: int = BATCHES, group_classes: int = GROUP_CLASSES,
