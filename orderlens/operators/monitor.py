@@ -13,8 +13,6 @@ from orderlens.schemas import ACCEPTED, DENIED, PENDING
 TOP_CUSTOMERS = 100
 TOP_PRODUCTS = 10
 SEARCH_LIMIT = 50
-SEARCH_POOL = 100
-LOOKBACK = 1000
 TIMELINE_LIMIT = 100
 STATUS_LIMIT = 100
 ACTIVITY_LIMIT = 10
@@ -76,12 +74,12 @@ def search_customers(customers: DataFrame, query: str = "", n: int = SEARCH_LIMI
     return customers.filter(F.col("customer_id") == try_parse_int(F.lit(query)))
 
 
-def search_products(products: DataFrame, query: str = "", n: int = SEARCH_LIMIT) -> DataFrame:
-    """Blank: top n by revenue. Otherwise ids starting with the upper-cased text among the top 100."""
+def search_products(products: DataFrame, query: str = "", n: int = SEARCH_LIMIT, pool: int | None = None) -> DataFrame:
+    """Blank: top n by revenue. Otherwise ids starting with the upper-cased text, among the top ``pool`` if that is given."""
     if query == "":
         return top_products(products, n).drop("rank")
-    pool = top_products(products, SEARCH_POOL).drop("rank")
-    return pool.filter(F.col("product_id").startswith(query.upper()))
+    among = products if pool is None else top_products(products, pool).drop("rank")
+    return among.filter(F.col("product_id").startswith(query.upper())).orderBy(F.desc("total_revenue"), "product_id")
 
 
 def filter_products(products: DataFrame, query: str) -> DataFrame:
@@ -131,13 +129,13 @@ def recent_activity(timeline: DataFrame, registered: DataFrame, n: int = ACTIVIT
 
 
 def search_orders(requested: DataFrame, registered: DataFrame, timeline: DataFrame,
-                  lookback: int = LOOKBACK) -> DataFrame:
+                  lookback: int | None = None) -> DataFrame:
     """For each requested order id the registered row, else its newest timeline row, else not found."""
     ids = requested.select("order_id").distinct()
     fields = ["customer_id", "product_id", "quantity", "unit_price", "total", "status"]
     stored = registered.select("order_id", F.struct(*fields).alias("stored"))
     seen = _recent_by_id(timeline, fields, lookback)
-    joined = ids.join(stored, "order_id", "left").join(F.broadcast(seen), "order_id", "left")
+    joined = ids.join(stored, "order_id", "left").join(seen, "order_id", "left")
     found = F.coalesce("stored", "seen")
     return joined.select(
         "order_id", *[found[f].alias(f) for f in fields],
@@ -147,22 +145,22 @@ def search_orders(requested: DataFrame, registered: DataFrame, timeline: DataFra
     )
 
 
-def _recent_by_id(timeline: DataFrame, fields: list[str], lookback: int) -> DataFrame:
-    """Newest entry per id among the newest ``lookback`` entries, at most that many rows."""
-    newest = latest(timeline, lookback)
+def _recent_by_id(timeline: DataFrame, fields: list[str], lookback: int | None) -> DataFrame:
+    """Newest entry per id, among the newest ``lookback`` entries if that is given."""
+    newest = timeline if lookback is None else latest(timeline, lookback)
     return newest.groupBy("order_id").agg(
         F.max_by(F.struct(*fields), F.struct("timestamp", *fields)).alias("seen"))
 
 
 def whereabouts(requested: DataFrame, registered: DataFrame, timeline: DataFrame,
-                lookback: int = LOOKBACK) -> DataFrame:
+                lookback: int | None = None) -> DataFrame:
     """Where each requested id exists, with both payloads."""
     ids = requested.select("order_id").distinct()
     stored = registered.select(
         "order_id", F.col("status").alias("registered_status"), F.col("version").alias("registered_version"),
         F.lit(True).alias("r"))
     seen = _recent_by_id(timeline, ["status", "total"], lookback)
-    joined = ids.join(stored, "order_id", "left").join(F.broadcast(seen), "order_id", "left")
+    joined = ids.join(stored, "order_id", "left").join(seen, "order_id", "left")
     return joined.select(
         "order_id", F.col("r").isNotNull().alias("in_registered"), F.col("seen").isNotNull().alias("in_timeline"),
         "registered_status", "registered_version",
@@ -170,15 +168,15 @@ def whereabouts(requested: DataFrame, registered: DataFrame, timeline: DataFrame
     )
 
 
-def apply_overrides(requested: DataFrame, timeline: DataFrame, lookback: int = LOOKBACK) -> DataFrame:
+def apply_overrides(requested: DataFrame, timeline: DataFrame, lookback: int | None = None) -> DataFrame:
     """Manual decisions (order_id, new_status) with what became of them.
 
-    A decision other than accepted or denied, or one whose id is not among the newest ``lookback`` entries,
-    is reported with applied = false. An applied one carries the row to store, at version 1.
+    A decision other than accepted or denied, or one whose id has no entry (among the newest ``lookback``, if
+    given), is reported with applied = false. An applied one carries the row to store, at version 1.
     """
     fields = ["customer_id", "product_id", "quantity", "unit_price", "total", "timestamp"]
     seen = _recent_by_id(timeline, fields, lookback)
-    joined = requested.select("order_id", "new_status").join(F.broadcast(seen), "order_id", "left")
+    joined = requested.select("order_id", "new_status").join(seen, "order_id", "left")
     applied = F.coalesce(F.col("new_status").isin(ACCEPTED, DENIED), F.lit(False)) & F.col("seen").isNotNull()
     return joined.select(
         "order_id", "new_status", applied.alias("applied"),

@@ -1,13 +1,11 @@
-"""Order-dependent work per key that survives a hot key.
-
-Several folds need "the previous row of this key in arrival order". The plain form is a window
-partitioned by the key, which puts every row of one key in one task. Here the keys that hold too many
-rows are found first by a heavy-hitter sketch (mergeable aggregates over the key column). Their
-rows are written to the checkpoint folder with a tie-break, range-partitioned from there by (key,
-arrival, tie-break) into segments, and written again with their segment, so that neither tie-break nor
-cut can come out differently when a lost executor's work is repeated. Windows then run per
-(key, segment), and a table of one row per segment carries the state across segment borders.
-Rows of the other keys all have segment -1 and take the plain window in the same plan.
+"""Order-dependent work per key, the same at every size and for every key.
+
+Several folds need "the previous row of this key in arrival order". The plain form is a window partitioned by the key,
+which puts every row of one key in one task. Here all rows are cut into segments by ranges of (key, arrival, tie-break),
+as many as the session has shuffle partitions, and written once to the checkpoint folder, so that neither tie-break nor
+cut can come out differently when a lost executor's work is repeated. Windows then run per (key, segment). A key that
+reaches over a segment's border gets the state before each of its segments from a table with one row per such segment;
+a segment has two such keys at most, its first and its last, so that table is bounded by the number of segments.
 """
 
 from __future__ import annotations
@@ -20,81 +18,41 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from orderlens.session import ensure_checkpoint_dir
 
 SEGMENT, TIE = "_segment", "_tie"
-PLAIN_SEGMENT = -1
-SKETCH_GROUPS = 256
-
-
-@dataclass(frozen=True)
-class SkewPolicy:
-    """When a key counts as hot, and how finely it is cut."""
-
-    min_rows: int = 2_000_000        # a key with fewer rows sorts comfortably in one task
-    rows_per_segment: int = 1_000_000
-    sketch_items: int = 10_000       # keys tracked by the sketch; those above ~0.04 % of rows are found
-    small_input_bytes: int = 64 << 20  # below this no key can be too large for one task
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Size of the tables below a plan, as Spark's statistics give it."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def no_hot_keys_if_small(df: DataFrame, policy: SkewPolicy) -> list | None:
-    """The ``hot`` argument for work on an input: no hot keys when it is small, else None (look for them).
-
-    A micro-batch asks this of its messages, before they are decoded and cached.
-    """
-    return [] if input_bytes(df) < policy.small_input_bytes else None
-
-
-def hot_keys(df: DataFrame, key: str, policy: SkewPolicy) -> list:
-    """The keys holding at least ``policy.min_rows`` rows, by a frequent-items sketch.
-
-    The list is bounded by row count / min_rows. Either path gives the same result for every key, so the
-    estimate decides only how the work is spread.
-    """
-    if no_hot_keys_if_small(df, policy) is not None:
-        return []
-    tracked = policy.sketch_items
-    # merged in two steps, as one task could not take the sketches of all input splits
-    partial = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("split_group"))
-        .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch"))
-    )
-    found = partial.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")).select(
-        F.expr(f"approx_top_k_estimate(sketch, {min(1000, tracked)})").alias("items")).first()
-    if found["items"] is None:
-        return []
-    return [entry["item"] for entry in found["items"] if entry["count"] >= policy.min_rows]
 
 
 @dataclass
 class Arranged:
-    """Rows ready for per-key ordered work."""
+    """Rows cut into segments, ready for per-key ordered work."""
 
     rows: DataFrame
     key: str
     order: list[str]
-    segmented: bool = False
+    border_keys: DataFrame
 
     @property
     def window(self):
-        if self.segmented:
-            return Window.partitionBy(self.key, SEGMENT).orderBy(*self.order, TIE)
-        return Window.partitionBy(self.key).orderBy(*self.order)
+        return Window.partitionBy(self.key, SEGMENT).orderBy(*self.order, TIE)
 
     @property
     def order_struct(self) -> Column:
-        return F.struct(*self.order, *([TIE] if self.segmented else []))
+        return F.struct(*self.order, TIE)
 
     def with_rows(self, rows: DataFrame) -> Arranged:
-        return Arranged(rows, self.key, self.order, self.segmented)
+        return Arranged(rows, self.key, self.order, self.border_keys)
 
     def plain(self) -> DataFrame:
         return self.rows.drop(SEGMENT, TIE)
 
+    def _border_rows(self) -> DataFrame:
+        """The rows of the keys that may reach over a border: two keys per segment at most."""
+        return self.rows.join(F.broadcast(self.border_keys), F.col(self.key).eqNullSafe(F.col("_border")), "left_semi")
+
+    def _carried(self, local: DataFrame, carry: DataFrame) -> DataFrame:
+        """Rows with what comes before their segment; carry has a row for each segment of each border key."""
+        carry = carry.withColumnsRenamed({self.key: "_carry_key", SEGMENT: "_carry_segment"})
+        same = F.col(self.key).eqNullSafe(F.col("_carry_key")) & (F.col(SEGMENT) == F.col("_carry_segment"))
+        return local.join(F.broadcast(carry), same, "left").drop("_carry_key", "_carry_segment")
+
     def with_neighbours(self, columns: Sequence[str]) -> Arranged:
         """Adds rn (position from 1), and structs prev and head: the previous and the first row of the key."""
         packed = F.struct(*columns)
@@ -104,16 +62,10 @@ class Arranged:
             "prev": F.lag(packed).over(w),
             "head": F.first(packed).over(w.rowsBetween(Window.unboundedPreceding, 0)),
         })
-        if not self.segmented:
-            return self.with_rows(local)
-        summary = (
-            self.rows.filter(F.col(SEGMENT) > PLAIN_SEGMENT)
-            .groupBy(self.key, SEGMENT)
-            .agg(
-                F.count("*").alias("n"),
-                F.min_by(packed, self.order_struct).alias("first_row"),
-                F.max_by(packed, self.order_struct).alias("last_row"),
-            )
+        summary = self._border_rows().groupBy(self.key, SEGMENT).agg(
+            F.count("*").alias("n"),
+            F.min_by(packed, self.order_struct).alias("first_row"),
+            F.max_by(packed, self.order_struct).alias("last_row"),
         )
         across = Window.partitionBy(self.key).orderBy(SEGMENT)
         before = across.rowsBetween(Window.unboundedPreceding, -1)
@@ -123,9 +75,7 @@ class Arranged:
             F.first("first_row").over(across.rowsBetween(Window.unboundedPreceding, 0)).alias("carry_head"),
             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("carry_rows"),
         )
-        # at most one row per segment and hot key, so the broadcast is bounded
-        joined = local.join(F.broadcast(carry), [self.key, SEGMENT], "left")
-        joined = joined.withColumns({
+        joined = self._carried(local, carry).withColumns({
             "prev": F.when(F.col("rn") == 1, F.col("carry_prev")).otherwise(F.col("prev")),
             "head": F.coalesce("carry_head", "head"),
             "rn": F.col("rn") + F.coalesce("carry_rows", F.lit(0)),
@@ -134,53 +84,36 @@ class Arranged:
 
     def with_running_sum(self, name: str, amount: Column) -> Arranged:
         """Adds the sum of ``amount`` over the rows of the key up to and including this one."""
-        w = self.window.rowsBetween(Window.unboundedPreceding, 0)
-        local = self.rows.withColumn(name, F.sum(amount).over(w))
-        if not self.segmented:
-            return self.with_rows(local)
-        sums = (
-            self.rows.filter(F.col(SEGMENT) > PLAIN_SEGMENT)
-            .groupBy(self.key, SEGMENT).agg(F.sum(amount).alias("part"))
-        )
+        local = self.rows.withColumn(name, F.sum(amount).over(self.window.rowsBetween(Window.unboundedPreceding, 0)))
+        sums = self._border_rows().groupBy(self.key, SEGMENT).agg(F.sum(amount).alias("part"))
         before = Window.partitionBy(self.key).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
         carry = sums.select(self.key, SEGMENT, F.sum("part").over(before).alias("carry_sum"))
-        joined = local.join(F.broadcast(carry), [self.key, SEGMENT], "left")
-        joined = joined.withColumn(name, F.col(name) + F.coalesce("carry_sum", F.lit(0))).drop("carry_sum")
-        return self.with_rows(joined)
+        joined = self._carried(local, carry)
+        return self.with_rows(joined.withColumn(name, F.col(name) + F.coalesce("carry_sum", F.lit(0))).drop("carry_sum"))
 
 
-def arrange(df: DataFrame, key: str, order: Sequence[str], policy: SkewPolicy = SkewPolicy(),
-            hot: list | None = None) -> Arranged:
-    """Prepare ``df`` for ordered work per ``key``; pass ``hot`` when the hot keys are known already."""
-    hot = hot_keys(df, key, policy) if hot is None else hot
-    if not hot:
-        return Arranged(df, key, list(order))
+def arrange(df: DataFrame, key: str, order: Sequence[str], segments: int | None = None) -> Arranged:
+    """Prepare ``df`` for ordered work per ``key``, in as many segments as the session has shuffle partitions."""
     ensure_checkpoint_dir(df.sparkSession)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    # the tie-break depends on row order, which a repeated task may see differently: fix it before it is used
-    hot_rows = df.filter(is_hot).withColumn(TIE, F.monotonically_increasing_id()).checkpoint()
-    segments = max(2, -(-hot_rows.count() // policy.rows_per_segment))
-    # equal arrivals (exact copies) still spread over segments, by the tie-break
-    cut = (
-        hot_rows.repartitionByRange(segments, key, *order, TIE)
-        .withColumn(SEGMENT, F.spark_partition_id())
-        .checkpoint()
-    )
-    cold = df.filter(~is_hot).withColumns({
-        TIE: F.lit(0).cast("bigint"), SEGMENT: F.lit(PLAIN_SEGMENT),
-    })
-    return Arranged(cold.unionByName(cut), key, list(order), segmented=True)
+    # equal arrivals (exact copies) spread over segments too, by the tie-break
+    cut_by = [key, *order, TIE]
+    tied = df.withColumn(TIE, F.monotonically_increasing_id())
+    ranged = tied.repartitionByRange(segments, *cut_by) if segments else tied.repartitionByRange(*cut_by)
+    cut = ranged.withColumn(SEGMENT, F.spark_partition_id()).checkpoint()
+    ends = cut.groupBy(SEGMENT).agg(F.min(F.struct(key)).alias("low"), F.max(F.struct(key)).alias("high"))
+    borders = ends.select(F.explode(F.array("low", "high")).alias("end")).select(F.col(f"end.{key}").alias("_border")).distinct()
+    return Arranged(cut, key, list(order), borders)
 
 
 def group_in_chunks(df: DataFrame, key: str, order: Sequence[str], chunk_rows: int = 10_000,
-                    policy: SkewPolicy = SkewPolicy(), hot: list | None = None) -> DataFrame:
+                    segments: int | None = None) -> DataFrame:
     """Rows grouped by key into arrays of at most ``chunk_rows`` rows, in order.
 
     A key with few rows gives one array, chunk 0. A larger one continues in further chunks, so that no
     row of the result holds an unbounded group and no row is dropped.
     """
     items = [c for c in df.columns if c != key]
-    placed = arrange(df, key, order, policy, hot).with_neighbours(list(order))
+    placed = arrange(df, key, order, segments).with_neighbours(list(order))
     chunk = F.floor((F.col("rn") - 1) / F.lit(chunk_rows)).cast("bigint")
     gathered = (
         placed.rows.withColumn("chunk", chunk)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderlens.functions.rules import APPROVED, Rule, outcome
-from orderlens.operators.ordering import Arranged, SkewPolicy, arrange
+from orderlens.operators.ordering import Arranged, arrange
 from orderlens.schemas import ACCEPTED, DENIED
 
 # fixed value: the reason written to the history
@@ -52,7 +52,7 @@ def differs(existing: str, incoming: str) -> Column:
 
 
 def registry_steps(orders: DataFrame, arrival: Sequence[str], existing: DataFrame | None = None,
-                   policy: SkewPolicy = SkewPolicy(), hot: list | None = None) -> Arranged:
+                   segments: int | None = None) -> Arranged:
     """Every approved arrival with its effect: rn, changed, previous_status and the version after it.
 
     ``existing`` holds stored rows (same columns as the result of :func:`registered_orders`); only those
@@ -72,7 +72,7 @@ def registry_steps(orders: DataFrame, arrival: Sequence[str], existing: DataFram
             F.col("updated_at").alias("stored_updated_at"),
         )
         rows = rows.unionByName(stored, allowMissingColumns=True)
-    placed = arrange(rows, "order_id", order, policy, hot)
+    placed = arrange(rows, "order_id", order, segments)
     placed = placed.with_neighbours([*_CARRIED, "stored_version", "stored_updated_at"])
     from_store = F.col("head.stored_version").isNotNull()
     stored_status = F.when((F.col("rn") == 2) & ~from_store, F.lit(ACCEPTED)).otherwise(F.col("prev.status"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orderlens.functions.scalars import average, money_sum
 from orderlens.functions.specs import order_spec
-from orderlens.operators.ordering import Arranged, SkewPolicy, arrange
+from orderlens.operators.ordering import Arranged, arrange
 from orderlens.schemas import ACCEPTED, ORDER_COLUMNS
 
 # arrival of rows read from a topic
@@ -28,19 +28,17 @@ def _customer_columns(orders: DataFrame, arrival: Sequence[str]) -> DataFrame:
     return orders.select(*dict.fromkeys(["customer_id", "order_id", "timestamp", "total", *arrival]))
 
 
-def repeat_guard(orders: DataFrame, arrival: Sequence[str], policy: SkewPolicy = SkewPolicy(),
-                 hot: list | None = None) -> Arranged:
+def repeat_guard(orders: DataFrame, arrival: Sequence[str], segments: int | None = None) -> Arranged:
     """Adds ``kept``: false iff the order id equals that of the customer's previous arriving order."""
-    placed = arrange(orders, "customer_id", arrival, policy, hot).with_neighbours(["order_id"])
+    placed = arrange(orders, "customer_id", arrival, segments).with_neighbours(["order_id"])
     repeated = F.coalesce(F.col("prev.order_id").eqNullSafe(F.col("order_id")) & F.col("prev").isNotNull(),
                           F.lit(False))
     return placed.with_rows(placed.rows.withColumn("kept", ~repeated))
 
 
-def customer_stats(orders: DataFrame, arrival: Sequence[str], policy: SkewPolicy = SkewPolicy(),
-                   hot: list | None = None) -> DataFrame:
+def customer_stats(orders: DataFrame, arrival: Sequence[str], segments: int | None = None) -> DataFrame:
     """Per-customer statistics; "last" and "first" follow arrival, not the largest timestamp."""
-    placed = repeat_guard(_customer_columns(orders, arrival), arrival, policy, hot)
+    placed = repeat_guard(_customer_columns(orders, arrival), arrival, segments)
     latest = F.max_by(F.struct("order_id", "timestamp"), placed.order_struct)
     grouped = (
         placed.rows.filter("kept").groupBy("customer_id")
@@ -59,10 +57,9 @@ def customer_stats(orders: DataFrame, arrival: Sequence[str], policy: SkewPolicy
     )
 
 
-def customer_totals(orders: DataFrame, arrival: Sequence[str], policy: SkewPolicy = SkewPolicy(),
-                    hot: list | None = None) -> DataFrame:
+def customer_totals(orders: DataFrame, arrival: Sequence[str], segments: int | None = None) -> DataFrame:
     """Only the counters of the customer view, for rankings and global sums."""
-    placed = repeat_guard(_customer_columns(orders, arrival), arrival, policy, hot)
+    placed = repeat_guard(_customer_columns(orders, arrival), arrival, segments)
     return placed.rows.filter("kept").groupBy("customer_id").agg(
         F.count("*").alias("total_orders"), money_sum("total").alias("total_spent"),
     )
@@ -160,11 +157,11 @@ def merge_single_rows(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def all_views(orders: DataFrame, arrival: Sequence[str], ring: DataFrame, processor_id: str,
-              policy: SkewPolicy = SkewPolicy()) -> dict[str, DataFrame]:
+              segments: int | None = None) -> dict[str, DataFrame]:
     """The four views of one decoded input."""
     valid = gated(orders)
     return {
-        "customers": customer_stats(valid, arrival, policy),
+        "customers": customer_stats(valid, arrival, segments),
         "products": product_stats(valid, arrival),
         "timeline": ring,
         "processing": processing_stats(orders, processor_id),
@@ -206,13 +203,13 @@ def _cents(amount: Column) -> Column:
 
 
 def fold_customers(orders: DataFrame, arrival: Sequence[str], state: DataFrame,
-                   policy: SkewPolicy = SkewPolicy(), hot: list | None = None) -> DataFrame:
+                   segments: int | None = None) -> DataFrame:
     """Customer statistics after ``orders`` on top of the stored ``state``; one row per customer in ``orders``.
 
     Only the first order of a customer in the batch depends on the stored last order id, so the batch is
     reduced to one row per customer before it meets the state.
     """
-    placed = repeat_guard(_customer_columns(orders, arrival), arrival, policy, hot)
+    placed = repeat_guard(_customer_columns(orders, arrival), arrival, segments)
     later = F.col("kept") & (F.col("rn") > 1)
     seen = F.struct("order_id", "timestamp", "total")
     reduced = placed.rows.groupBy("customer_id").agg(

@@ -123,7 +123,7 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY {arri
     "cplaced": ("clean", _PLACED.format(source="clean")),
     "recent": ("entries", """
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY timestamp DESC) AS k
-               FROM (SELECT * FROM entries ORDER BY timestamp DESC, order_id LIMIT 1000)) WHERE k = 1"""),
+               FROM entries) WHERE k = 1"""),
     "merged": ("entries cregistered", """
 SELECT e.order_id, e.customer_id, e.product_id,
        CASE WHEN r.order_id IS NULL THEN e.quantity ELSE r.quantity END AS quantity,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,14 +32,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, local runs) is a folder of our own made,
-    and then remembered in the session so that one run uses one folder.
+    Where the session names none, a local run makes a folder of its own, removes it at exit and remembers it in the
+    session, so that one run uses one folder; with any other master that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.conf.get("orderlens.work.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="orderlens-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.conf.set("orderlens.work.dir", configured)
     return configured.rstrip("/")
 

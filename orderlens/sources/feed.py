@@ -5,29 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderlens.functions.scalars import epoch_millis, round_half_up
-from orderlens.operators.ordering import input_bytes
 from orderlens.schemas import ACCEPTED, DENIED, PENDING
 
 # total arrival orders of the feed, within a customer and within an order id
 CUSTOMER_ARRIVAL = ["timestamp", "order_id", "a1", "a2", "total", "quantity"]
 ORDER_ARRIVAL = ["timestamp", "a1", "a2", "total", "quantity"]
 
-SPREAD_BELOW_BYTES = 256 << 20
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a small table as many partitions as there are cores.
+    """Deal a table out by a key, into the session's shuffle partitions: the exchange that a join by the key needs anyway.
 
-    A small file is often a single row group, which one task would read and then carry through all the
-    work up to the next shuffle. Large tables have splits enough and are left alone.
+    Without it, a file of one row group would go through all the work up to the join in one task.
     """
-    if input_bytes(df) >= SPREAD_BELOW_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    return df.repartition(key)
 
 
 def order_feed(spark: SparkSession, sf_dir: str, rounded_price: bool = True) -> DataFrame:

@@ -13,11 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from orderlens.operators.ordering import input_bytes
 from orderlens.schemas import TABLES, TableSpec
 
 FOLDER = "period"
-DAY_GRAIN_BYTES = 256 << 30
 
 TOPIC_OFFSETS = TableSpec(
     "topic_offsets",
@@ -127,14 +125,12 @@ class ViewStore:
 
 
 def write_by_time(rows: DataFrame, path: str, time: str = "timestamp", order_id: str = "order_id",
-                  grain: str | None = None) -> None:
-    """Rows in one folder per day (or month, for tables too small to fill days), in time order within a file.
+                  grain: str = "month") -> None:
+    """Rows in one folder per month (or other grain that the caller names), in time order within a file.
 
     The rebalance gives each folder few files, and splits a folder too large for one task by the shuffle's
     map outputs, which works for copies of one row too.
     """
-    if grain is None:
-        grain = "day" if input_bytes(rows) >= DAY_GRAIN_BYTES else "month"
     instant = F.timestamp_millis(time) if isinstance(rows.schema[time].dataType, LongType) else F.col(time)
     folder = F.date_trunc(grain, instant).cast("date")
     (

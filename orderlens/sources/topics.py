@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderlens.operators.ordering import SkewPolicy, arrange
+from orderlens.operators.ordering import arrange
 from orderlens.schemas import TOPIC_RECORD
 
 # fixed values: the topics and their partitions
@@ -66,13 +66,13 @@ def partition_of(key: Column, partitions: int = PARTITIONS) -> Column:
 
 
 def assign_offsets(messages: DataFrame, order: Sequence[str], partitions: int = PARTITIONS,
-                   policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+                   segments: int | None = None) -> DataFrame:
     """Place (key, value, timestamp, + order columns) of one topic: partition by key, dense offsets in order.
 
-    A topic has few partitions, each a hot key by nature; numbering goes through segments when they are large.
+    A topic has few partitions, each a hot key by nature; numbering goes through segments.
     """
     placed = messages.withColumn("partition", partition_of(F.col("key"), partitions))
-    numbered = arrange(placed, "partition", order, policy).with_neighbours([order[0]])
+    numbered = arrange(placed, "partition", order, segments).with_neighbours([order[0]])
     rows = numbered.rows.withColumn("offset", F.col("rn") - 1)
     return rows.select(*messages.columns, "partition", "offset")
 

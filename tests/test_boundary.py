@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from orderlens.functions import codec, rules
 from orderlens.functions.specs import order_spec
 from orderlens.operators import registry, timeline, views
-from orderlens.operators.ordering import SkewPolicy
 from orderlens.schemas import ORDER_COLUMNS, TABLES, TableSpec
 from orderlens.session import fresh_dir
 from orderlens.sources import topics
@@ -98,8 +97,7 @@ def test_offsets_are_dense_also_when_partitions_are_cut(spark):
     messages = inputs.feed(spark, SF_DIR).withColumn("key", F.col("order_id"))
     order = inputs.TIMELINE_ARRIVAL
     plain = topics.assign_offsets(messages, order)
-    cut = topics.assign_offsets(messages, order, policy=SkewPolicy(
-        min_rows=100, rows_per_segment=300, small_input_bytes=0, sketch_items=64))
+    cut = topics.assign_offsets(messages, order, segments=50)
     assert plain.exceptAll(cut).count() == 0 and cut.exceptAll(plain).count() == 0
     for row in cut.groupBy("partition").agg(F.count("*").alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi"),
                                             F.count_distinct("offset").alias("d")).collect():
@@ -273,13 +271,12 @@ def test_conform_reads_millis_as_time(spark):
 
 def test_streams_cut_hot_keys_too(spark, slices):
     """A micro-batch whose hot customers, ids and topic partitions are cut gives what an uncut one gives."""
-    cut = SkewPolicy(min_rows=20, rows_per_segment=50, small_input_bytes=0, sketch_items=64)
     found = []
-    for policy in (SkewPolicy(), cut):
+    for segments in (1, 40):
         kept, root = jobs.open_store(spark, fresh_dir(spark, "cutviews")), fresh_dir(spark, "cutlog")
-        jobs.run_views_batch(kept, slices[0], 0, ring_size=10, policy=policy)
-        jobs.run_validate_batch(kept, slices[0], 0, root, policy=policy)
-        jobs.run_register_batch(kept, topics.read_log(spark, root, [topics.REGISTRY]), 0, policy=policy)
+        jobs.run_views_batch(kept, slices[0], 0, ring_size=10, segments=segments)
+        jobs.run_validate_batch(kept, slices[0], 0, root, segments=segments)
+        jobs.run_register_batch(kept, topics.read_log(spark, root, [topics.REGISTRY]), 0, segments=segments)
         found.append({t: sorted(map(str, kept.current(t).collect())) for t in (
             "orders_by_customer", "registered_orders", "order_updates", "topic_offsets", "validation_stats")})
     assert found[0] == found[1]

@@ -1,4 +1,4 @@
-"""Folds rewritten as windows and aggregates, against the event-at-a-time model, also with hot keys cut."""
+"""Folds rewritten as windows and aggregates, against the event-at-a-time model, in one segment and in many."""
 
 import random
 
@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from tests import folds
 from orderlens.operators import monitor, registry, store, timeline, views
-from orderlens.operators.ordering import SEGMENT, SkewPolicy, arrange, group_in_chunks, hot_keys
+from orderlens.operators.ordering import SEGMENT, arrange, group_in_chunks
 from orderlens.schemas import ORDER_COLUMNS
 
 ARRIVAL = ["seq"]
-# every key with more than 5 rows counts as hot, and is cut into segments of 4 rows
-CUT_ALL = SkewPolicy(min_rows=5, rows_per_segment=4, small_input_bytes=0, sketch_items=64)
+# so many segments that most keys reach over several
+CUT_ALL = 30
 
 
 def random_rows(seed, n, ids=12, customers=5, hot=0.34):
@@ -61,21 +61,21 @@ def test_late_event_overwrites_last(orders):
     assert (row["last_order_id"], row["last_order_timestamp"], row["first_order_timestamp"]) == ("ORDER-001", 5000, 6000)
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), CUT_ALL], ids=["plain", "cut"])
+@pytest.mark.parametrize("segments", [1, None, CUT_ALL])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_customer_fold(orders, policy, seed):
+def test_customer_fold(orders, segments, seed):
     rows = random_rows(seed, 150)
-    got = views.customer_stats(orders(*rows), ARRIVAL, policy).collect()
+    got = views.customer_stats(orders(*rows), ARRIVAL, segments).collect()
     assert {r["customer_id"]: (r["total_orders"], round(r["total_spent"] * 100), r["last_order_id"],
                                r["last_order_timestamp"], r["first_order_timestamp"]) for r in got} == folds.customers(
         as_dicts(rows))
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), CUT_ALL], ids=["plain", "cut"])
+@pytest.mark.parametrize("segments", [1, None, CUT_ALL])
 @pytest.mark.parametrize("seed", [3, 4])
-def test_registry_fold(orders, policy, seed):
+def test_registry_fold(orders, segments, seed):
     rows = random_rows(seed, 150)
-    steps = registry.registry_steps(orders(*rows), ARRIVAL, policy=policy)
+    steps = registry.registry_steps(orders(*rows), ARRIVAL, segments=segments)
     want, history = folds.registry(as_dicts(rows))
     got = {r["order_id"]: (r["status"], r["version"], r["quantity"], r["total"])
            for r in registry.registered_orders(steps).collect()}
@@ -87,13 +87,13 @@ def test_registry_fold(orders, policy, seed):
     assert sum(summary) == len(rows)
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), CUT_ALL], ids=["plain", "cut"])
-def test_registry_continues_from_stored_rows(orders, policy):
+@pytest.mark.parametrize("segments", [1, None, CUT_ALL])
+def test_registry_continues_from_stored_rows(orders, segments):
     rows = random_rows(5, 120)
     df = orders(*rows)
-    first = registry.registry_steps(df.filter("seq < 50"), ARRIVAL, policy=policy)
+    first = registry.registry_steps(df.filter("seq < 50"), ARRIVAL, segments=segments)
     stored = registry.registered_orders(first)
-    second = registry.registry_steps(df.filter("seq >= 50"), ARRIVAL, stored, policy)
+    second = registry.registry_steps(df.filter("seq >= 50"), ARRIVAL, stored, segments)
     merged = store.upsert(stored, registry.registered_orders(second), ["order_id"])
     want, history = folds.registry(as_dicts(rows))
     assert {r["order_id"]: (r["status"], r["version"], r["quantity"], r["total"]) for r in merged.collect()} == want
@@ -101,12 +101,12 @@ def test_registry_continues_from_stored_rows(orders, policy):
     assert sorted((r["order_id"], r["version"], r["previous_status"], r["new_status"]) for r in both) == history
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), CUT_ALL], ids=["plain", "cut"])
-def test_customers_continue_from_stored_rows(orders, policy):
+@pytest.mark.parametrize("segments", [1, None, CUT_ALL])
+def test_customers_continue_from_stored_rows(orders, segments):
     rows = random_rows(6, 120)
     df = orders(*rows)
     stored = views.customer_stats(df.filter("seq < 60"), ARRIVAL)
-    fresh = views.fold_customers(df.filter("seq >= 60"), ARRIVAL, stored, policy)
+    fresh = views.fold_customers(df.filter("seq >= 60"), ARRIVAL, stored, segments)
     merged = store.upsert(stored, fresh, ["customer_id"]).collect()
     assert {r["customer_id"]: (r["total_orders"], round(r["total_spent"] * 100), r["last_order_id"],
                                r["last_order_timestamp"], r["first_order_timestamp"]) for r in merged} == folds.customers(
@@ -122,17 +122,10 @@ def test_exact_copies_are_spread(orders):
     assert views.customer_stats(df, ["timestamp"], CUT_ALL).first()["total_orders"] == 2
 
 
-def test_hot_keys_are_found_and_small_inputs_skip_the_scan(orders):
-    df = orders(*random_rows(7, 200))
-    assert 1 in hot_keys(df, "customer_id", SkewPolicy(min_rows=50, small_input_bytes=0, sketch_items=64))
-    path = "/root/testdata/sf0.001/orders.parquet"
-    assert hot_keys(df.sparkSession.read.parquet(path), "o_custkey", SkewPolicy(min_rows=1)) == []
-
-
-@pytest.mark.parametrize("policy", [SkewPolicy(), CUT_ALL], ids=["plain", "cut"])
-def test_group_in_chunks(orders, policy):
+@pytest.mark.parametrize("segments", [1, None, CUT_ALL])
+def test_group_in_chunks(orders, segments):
     df = orders(*random_rows(8, 100)).select("customer_id", "order_id", "seq")
-    got = group_in_chunks(df, "customer_id", ["seq"], 7, policy).orderBy("customer_id", "chunk").collect()
+    got = group_in_chunks(df, "customer_id", ["seq"], 7, segments).orderBy("customer_id", "chunk").collect()
     assert all(r["row_count"] == len(r["items"]) <= 7 for r in got)
     joined = {}
     for r in got:
