@@ -270,7 +270,8 @@ def _learned(docs: DataFrame, labels: DataFrame, space: Workspace, sample: dict[
         return None
     share = F.when(F.col("toxic") == 1, min(1.0, sample[1] / counts[1])).otherwise(min(1.0, sample[0] / counts[0]))
     part = known.where("toxic IN (0, 1)").where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < share * (1 << 20))
-    return space.store(docs.select("doc_id", "text").where("text IS NOT NULL").join(part, "doc_id"))
+    # a sample of about sample[0] + sample[1] ids, whatever the size of the tables, so no text has to be shuffled
+    return space.store(docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(space.store(part)), "doc_id"))
 
 
 def _unit_counts(sample: DataFrame) -> DataFrame:
