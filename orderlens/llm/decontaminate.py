@@ -134,5 +134,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs in which nothing is hit, with all their columns."""
-    kept = [c for c in docs.columns if c not in ("n_words", "words", "spans", "item_ids")]
-    return hits(docs, benchmark, columns=kept).where("size(words) = 0").select(kept)
+    # other names meanwhile, as docs may have columns named like those of hits()
+    inner = docs.select(*[F.col(f"`{c}`").alias(c if c == "text" else f"in_{k}") for k, c in enumerate(docs.columns)])
+    return hits(inner, benchmark, columns=inner.columns).where("size(words) = 0").select(inner.columns).toDF(*docs.columns)

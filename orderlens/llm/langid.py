@@ -39,14 +39,13 @@ class Folder:
         self.codes = codes
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        strings = [" " + text.decode() + " " for text in texts]
+        strings = ["  " + text.decode() + " " for text in texts]     # no n-gram of up to three joins letters of two texts
         bounds = np.concatenate(([0], np.cumsum([len(s) for s in strings])))
         return self.codes[np.frombuffer("".join(strings).encode("utf-32-le"), dtype=np.uint32)], bounds
 
 
 def buckets(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The bucket of the n-gram at each place, and whether it counts (it is not all spaces). Those over the end of a text
-    start in its last space; they differ from text to text only by the space that follows."""
+    """The bucket of the n-gram at each place, and whether it counts (it is not all spaces)."""
     size = len(codes) - n + 1
     if size <= 0:
         return np.empty(0, np.uint32), np.empty(0, bool)

@@ -341,5 +341,6 @@ def scored(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = N
 def acceptable(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs below the threshold, with all their columns."""
     model = train(docs, labels).sent(docs.sparkSession)
-    kept = [c for c in docs.columns if c != "score"]
-    return _valued(docs, model, kept, True).where(F.col("score") < threshold).select(kept)
+    # other names meanwhile, as docs may have a score of its own
+    inner = docs.select(*[F.col(f"`{c}`").alias(c if c == "text" else f"in_{k}") for k, c in enumerate(docs.columns)])
+    return _valued(inner, model, inner.columns, True).where(F.col("score") < threshold).select(inner.columns).toDF(*docs.columns)

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderlens.llm import chat, decontaminate, fertility, langid, licenses, minhash, packing, secrets, suffix_index, tokens, toxicity
 from tests.llm import brute
@@ -149,7 +150,7 @@ def test_chat_round_trip(spark):
     rng = random.Random(2)
     rows = [(c, t, rng.choice(["user", "assistant", "system", "tool", "", None, "<|text|>"]), rng.choice(nasty)) for c in [*range(20), None] for t in range(rng.randrange(1, 9))]
     rows += [(50, 1, "user", "same"), (50, 1, "user", "same"), (50, None, "assistant", "first")]
-    got = chat.read_back(chat.formatted(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumn("segment", __import__("pyspark").sql.functions.lit("x")))).collect()
+    got = chat.read_back(chat.formatted(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumn("segment", F.lit("x")))).collect()
     for r in got:
         own = sorted([x for x in rows if x[0] == r["conv_id"]], key=lambda x: (x[1] is not None, x[1] or 0, x[2] or "", x[3] or ""))
         assert r["n_turns"] == len(own)
@@ -182,7 +183,7 @@ def test_quality_base_counts(docs, texts):
 
 
 def test_quality_measures_by_script(spark):
-    rows = [(0, " ".join(["A fair number of different words keeps the entropy of this sentence well within the band."] * 1) * 1 + " More follows here, so that fifty words are reached: numbers, colours, rivers, mountains, gardens, stories, questions, answers, letters, bridges, clouds, winters, summers, kitchens, windows, travellers, musicians, painters, teachers, sailors, engines, planets, oceans."),
+    rows = [(0, "A fair number of different words keeps the entropy of this text well within the band of its script. More follows here, so that fifty words are reached: numbers, colours, rivers, mountains, gardens, stories, questions, answers, letters, bridges, clouds, winters, summers, kitchens, windows, travellers, musicians, painters, teachers, sailors, engines, planets, oceans, harvests, ladders, mirrors."),
             (1, " ".join("≋⟁꙰𐎀"[k % 4] * 3 for k in range(80)) + " abcde"), (2, "Слово за слово " * 3)]
     got = {r["doc_id"]: r for r in fertility.judged(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[0]["kept"] and got[0]["script"] == "latin" and got[0]["fallback_share"] == 0
@@ -219,7 +220,8 @@ def test_decontamination_spans_and_columns(spark):
     bench = spark.createDataFrame([(5, "ünder the sea"), (6, "Ünder the sea")], "item_id long, text string")
     r = decontaminate.hits(docs, bench).where("doc_id = 1").first()
     assert r["n_words"] == 5 and [("Say: Ünder-the  SEA, ok".encode()[s["start"]:s["end"]]).decode() for s in r["spans"]] == ["Ünder-the  SEA"]
-    clean = decontaminate.clean_documents(docs.drop("n_words").withColumn("extra", docs.n_words), bench)
+    clean = decontaminate.clean_documents(docs, bench)
+    assert clean.columns == docs.columns
     assert [tuple(r) for r in clean.collect()] == [(2, "nothing", 8)]
 
 
@@ -309,12 +311,12 @@ def test_licence_offsets(spark):
 
 def test_language_edge_rows(spark, docs):
     rows = [(i, "der die das und nicht ein" if i % 2 else "the of and to in that", "de" if i % 2 else "en") for i in range(60)] + [(900, None, "de"), (901, "123 !!", "en"), (902, "", None), (None, "the and of", "en")]
-    got = {r["doc_id"]: r for r in langid.identified(spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", __import__("pyspark").sql.functions.lit(1))).collect()}
+    got = {r["doc_id"]: r for r in langid.identified(spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit(1))).collect()}
     assert [got[i]["lang_pred"] for i in (900, 901, 902)] == ["und"] * 3 and got[900]["score"] == 0
     assert all(got[i]["lang_pred"] == ("de" if i % 2 else "en") for i in range(60))
     assert all(got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2) for i in range(60)) and got[None]["held_out"] is False
     assert langid.identified(empty(docs)).count() == 0
-    unlabelled = langid.identified(docs.withColumn("lang", __import__("pyspark").sql.functions.lit(None).cast("string")))
+    unlabelled = langid.identified(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in unlabelled.collect()} == {"und"}
 
 
