@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,7 +66,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 _ITEM_WORDS = _WORDS.replace(r"[^\x20\x09-\x0D]+", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
+_T = chat.Template()
+_MARKED = "'(" + "|".join([r"\\", *map(re.escape, _T.control)]) + ")', '\\1~', 'g'"
+
+
+def _turn_length() -> str:
+    """What a turn adds to its escaped text."""
+    known = " ".join(f"WHEN '{role}' THEN {len(before) + len(after)}" for role, (before, after) in _T.turns.items())
+    return f"CASE role {known} ELSE {sum(map(len, _T.other))} + length(regexp_replace(role, {_MARKED})) END"
+
+
 ORACLES: dict[str, str] = {
+    "op3_chat_formatting": f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+o AS (SELECT *, row_number() OVER w AS k, coalesce(lag(role) OVER w, '(start)') AS earlier, lead(role) OVER w AS later
+      FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(length(regexp_replace(text, {_MARKED})) + {_turn_length()})::BIGINT AS formatted_chars,
+       count(*) FILTER (WHERE (earlier, role) NOT IN (('(start)', 'system'), ('(start)', 'user'), ('system', 'user'),
+                                                      ('user', 'assistant'), ('assistant', 'user')))::BIGINT AS n_problems,
+       bool_or(later IS NULL AND role = 'assistant') AS complete
+FROM o GROUP BY conv_id""",
     "op5_minhash_near_dedup": f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
