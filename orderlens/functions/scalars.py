@@ -1,4 +1,4 @@
-"""Scalar helpers as Column expressions; all of them stay inside whole-stage codegen."""
+"""Scalar helpers as Column expressions; all of them run in the JVM (those over arrays and maps outside whole-stage codegen)."""
 
 from __future__ import annotations
 

@@ -1,7 +1,7 @@
 """Structural specs: per-field predicates over a row, with an account of the failing fields.
 
 A spec is an ordered list of checks. Each yields plain Column expressions, so a spec check is one
-projection and never leaves codegen.
+projection and stays in the JVM.
 """
 
 from __future__ import annotations

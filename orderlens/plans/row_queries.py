@@ -35,16 +35,16 @@ def _(spark, d):
 
 
 @query("prj_03_typed_records", check("registered", """
-SELECT o_orderkey, coalesce(r.customer_id, 0) AS customer_id, r.product_id, coalesce(r.quantity, 0) AS quantity,
+SELECT l.order_id, coalesce(r.customer_id, 0) AS customer_id, r.product_id, coalesce(r.quantity, 0) AS quantity,
        coalesce(r.total, 0.0) AS total, r.status, r.registered_at, coalesce(r.version, 0) AS version
-FROM orders LEFT JOIN registered r ON r.order_id = concat('ORD-', CAST(o_orderkey AS VARCHAR), '-1')"""))
+FROM (SELECT DISTINCT concat('ORD-', CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)) AS order_id FROM lineitem) l
+LEFT JOIN registered r ON r.order_id = l.order_id"""))
 def _(spark, d):
     stored = i.registered(spark, d, exact_price=False).withColumn("registered_at", F.timestamp_millis("registered_at"))
-    ids = table(spark, d, "orders").select(
-        "o_orderkey", F.concat_ws("-", F.lit("ORD"), "o_orderkey", F.lit("1")).alias("order_id"))
+    ids = table(spark, d, "lineitem").select(F.concat_ws("-", F.lit("ORD"), "l_orderkey", "l_linenumber").alias("order_id")).distinct()
     rows = ids.join(stored, "order_id", "left").withColumn("total", F.col("total").cast("decimal(18,2)"))
     typed = store.typed(rows, ints=["customer_id", "quantity", "version"], decimals=["total"], times=["registered_at"])
-    return typed.select("o_orderkey", "customer_id", "product_id", "quantity", "total", "status", "registered_at", "version")
+    return typed.select("order_id", "customer_id", "product_id", "quantity", "total", "status", "registered_at", "version")
 
 
 @query("prj_04_order_summary", check("clean", """
@@ -176,6 +176,7 @@ def _(spark, d):
 
 _TOTAL = "CAST(total AS VARCHAR)"
 _QTY = "CAST(quantity AS VARCHAR)"
+# fixed values: rule names and messages
 RULE_SQL = [
     ("minimum-quantity", "quantity >= 1", f"concat('Quantity must be at least 1, got: ', {_QTY})"),
     ("maximum-quantity", "quantity <= 1000", f"concat('Quantity exceeds maximum of 1000, got: ', {_QTY})"),

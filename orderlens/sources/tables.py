@@ -73,10 +73,10 @@ class ViewStore:
     def _with_changes(self, table: str, upto: int) -> DataFrame:
         """State after batch ``upto``, from the last snapshot before it and the changes since."""
         spec = self.tables[table]
-        base = 0 if spec.grows else (upto - 1) // self.snapshot_every * self.snapshot_every
-        base = base if base > 0 else -1
-        first = base + 1
-        paths = [f"{self._changes(table)}/batch_id={i}" for i in range(first, upto + 1)]
+        base = -1 if spec.grows else max((n for n in self._complete(f"{self.root}/{table}/snapshots", "") if n < upto), default=-1)
+        paths = [f"{self._changes(table)}/batch_id={i}" for i in self._complete(self._changes(table), "batch_id=") if base < i <= upto]
+        if not paths:
+            return self.empty(table) if base < 0 else self.spark.read.schema(spec.schema).parquet(self._snapshot(table, base))
         reader = self.spark.read.schema(StructType([*spec.schema, StructField("batch_id", LongType())]))
         changes = reader.option("basePath", self._changes(table)).parquet(*paths)
         if base >= 0:
@@ -108,15 +108,30 @@ class ViewStore:
 
     def last_batch(self, table: str) -> int | None:
         """Largest batch whose write has completed."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._changes(table))
+        return max(self._complete(self._changes(table), "batch_id="), default=None)
+
+    def _complete(self, folder: str, prefix: str) -> list[int]:
+        """Numbers of the folders below one whose write has completed, in order."""
+        name = self.spark._jvm.org.apache.hadoop.fs.Path
+        path = name(folder)
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not fs.exists(path):
-            return None
+            return []
         names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
-        batches = sorted((int(n.split("=")[1]) for n in names if n.startswith("batch_id=")), reverse=True)
-        done = (b for b in batches if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(
-            f"{self._changes(table)}/batch_id={b}/_SUCCESS")))
-        return next(done, None)
+        numbers = sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix) and n.removeprefix(prefix).isdigit())
+        return [n for n in numbers if fs.exists(name(f"{folder}/{prefix}{n}/_SUCCESS"))]
+
+    def first_batch(self, checkpoint: str) -> int:
+        """The number in this store of a checkpoint's batch 0: after all that is stored when the checkpoint is first used.
+
+        It is written into the checkpoint's folder, so a restarted query goes on with the same numbers, and a new checkpoint
+        on an existing store adds to its state instead of replacing its first batches.
+        """
+        path = f"{checkpoint.rstrip('/')}/first_batch"
+        if not self._complete(checkpoint.rstrip("/"), "first_batch_v"):
+            first = 1 + max((n for t in self.tables for n in self._complete(self._changes(t), "batch_id=")), default=-1)
+            self.spark.range(first, first + 1).coalesce(1).write.parquet(f"{path}_v1")
+        return self.spark.read.parquet(f"{path}_v1").first()["id"]
 
     def bootstrap(self, batch_id: int = 0) -> None:
         """Create every table, empty."""

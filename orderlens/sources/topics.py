@@ -23,7 +23,7 @@ def kafka_options(servers: str, topics: Sequence[str], starting: str = "earliest
                   max_records: int | None = None, since_millis: int | None = None) -> dict[str, str]:
     """Options of the Kafka reader: all topics in one subscription, from the start on the first run.
 
-    ``max_records`` bounds a micro-batch (the original reads at most 500 per poll); ``since_millis`` starts at a
+    ``max_records`` bounds a micro-batch (a poll of 500 messages is usual); ``since_millis`` starts at a
     time instead of at ``starting``. A new checkpoint with either is a replay.
     """
     options = {
@@ -83,19 +83,26 @@ def fan_out(messages: DataFrame, topics: Sequence[str]) -> DataFrame:
 
 
 def write_log(records: DataFrame, root: str, topic: str, batch: int = 0) -> None:
-    """Write one batch of a topic (Kafka columns). Writing a batch again replaces it.
+    """Write one batch of a topic (Kafka columns). A batch that is there in full stays as it is: readers may have seen it.
 
-    A topic has few partitions, so the files are spread by (partition, offset) and not by partition.
+    The files hold ranges of (partition, offset), so readers of some offsets skip the others by the files' statistics.
     """
+    if batch_written(records.sparkSession, root, topic, batch):
+        return
     names = [f.name for f in TOPIC_RECORD]
     (
         records.withColumn("topic", F.lit(topic)).select(*names)
-        .repartition("partition", "offset")
+        .repartitionByRange("partition", "offset")
         .sortWithinPartitions("partition", "offset")
         .write.mode("overwrite").parquet(f"{root}/{topic}/batch-{batch:012d}")
     )
 
 
+def batch_written(spark: SparkSession, root: str, topic: str, batch: int) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{topic}/batch-{batch:012d}/_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def _log_paths(root: str, topics: Sequence[str]) -> str:
     return f"{root}/{topics[0]}" if len(topics) == 1 else root + "/{" + ",".join(topics) + "}"
 
