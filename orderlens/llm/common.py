@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,8 +55,8 @@ class Workspace:
     def _remove(self, path: str) -> None:
         jvm = self.spark.sparkContext._jvm
         if jvm is not None:
-            target = jvm.org.apache.hadoop.fs.Path(path)
             try:
+                target = jvm.org.apache.hadoop.fs.Path(path)
                 target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
             except Exception:  # the session may be gone at exit
                 return
@@ -70,7 +71,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str = "text") -> Ite
     """Arrow batches cut into runs of rows of about CHUNK_BYTES, with the column's texts as UTF-8; null is empty."""
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), dtype=np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
         start, held = 0, 0
         for row, size in enumerate(sizes):
             if held and held + size > CHUNK_BYTES:
