@@ -31,8 +31,9 @@ from .common import RangeHash, Workspace, mixed, text_batches
 BANDS, ROWS = 32, 6
 WORDS = 5
 FIRST_PIVOTS = 4
-#: A member of a bucket: with the number of its shingles that other candidates have too, and of its fellow members in all buckets.
-ENTRY = ["bucket", "doc_id", "n_shingles", "common", "company"]
+#: A member of a bucket: with the number of its shingles that other candidates have too, of its fellow members in all buckets,
+#: and 32 bits of each of its bands.
+ENTRY = ["bucket", "doc_id", "n_shingles", "common", "company", "marks"]
 
 _HASHES = RangeHash()
 
@@ -157,11 +158,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS, band
     space = Workspace(docs.sparkSession, "minhash")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = space.store(signatures(docs, words, bands, rows))
-    members = signed.select("doc_id", "content", "n_shingles")
+    members = space.store(signed.select("doc_id", "content", "n_shingles"))
     whole = space.store(members.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("content").alias("content")))
     nodes = space.store(whole.groupBy("content").agg(F.min("doc_id").alias("node")))
     signed_nodes = space.store(signed.join(nodes.withColumnRenamed("node", "doc_id"), ["content", "doc_id"], "left_semi")
                                .dropDuplicates(["content", "doc_id"]))
+    space.drop(signed)
 
     entries = signed_nodes.select(F.explode("bands").alias("bucket"), "doc_id", "n_shingles")
     crowded = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
@@ -176,7 +178,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS, band
     # shingles that no other candidate has; what is left must make up the threshold
     alone = sets.select("doc_id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).where("n = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
-    able = company.join(alone, "doc_id", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    marks = signed_nodes.select("doc_id", F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("marks"))
+    able = company.join(alone, "doc_id", "left").withColumn("alone", F.coalesce("alone", F.lit(0))).join(marks, "doc_id")
     members_left = shared_buckets.drop("n").join(able, "doc_id").withColumn("common", F.col("n_shingles") - F.col("alone"))
     buckets = space.store(members_left.where(100 * F.col("common") >= percent * F.col("n_shingles")).select(*ENTRY))
     space.drop(shared_buckets)
@@ -192,9 +195,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS, band
         chosen = space.store(active.withColumn("rank", order).where(F.col("rank") <= pivots).drop("rank"))
         left, right = active.alias("x"), chosen.alias("p")
         most = F.least("x.common", "p.common")
+        # a pair comes from the first band that it shares
+        first = F.array_position(F.zip_with("x.marks", "p.marks", lambda a, b: a == b), True)
+        mark = F.shiftright("x.bucket", 32).cast("int")
         pairs = left.join(right, F.col("x.bucket") == F.col("p.bucket")).where(
             (F.col("x.component") != F.col("p.component")) & (F.col("x.doc_id") != F.col("p.doc_id"))
             & (100 * most >= percent * (F.col("x.n_shingles") + F.col("p.n_shingles") - most))
+            & (F.element_at("x.marks", first.cast("int")) == mark)
         ).select(F.least("x.doc_id", "p.doc_id").alias("a"), F.greatest("x.doc_id", "p.doc_id").alias("b")).distinct()
         pairs = space.store(pairs)
         rest = space.store(active.select(*ENTRY).join(chosen.select("bucket", "doc_id"), ["bucket", "doc_id"], "left_anti"))
