@@ -17,8 +17,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays, once. Rows without id stay."""
-    judged = minhash.near_duplicates(docs)
+    """Of each group of documents linked by a similarity of 0.8 or more the one with the smallest id stays, once. Rows without id stay."""
+    judged = minhash.near_duplicates(docs, percent=80)
     kept = judged.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).union(docs.where("doc_id IS NULL"))
 

@@ -33,6 +33,17 @@ def test_near_duplicates_stage_keeps_the_smallest(stages):
     assert {r["doc_id"] for r in stages[2].collect()} == want
 
 
+def test_near_duplicates_stage_links_from_eighty_percent(spark, stages):
+    rows = [(r["doc_id"], r["text"]) for r in stages[1].collect()]
+    want = {i for i, (_, component) in brute.near_duplicates(rows, 80).items() if i == component}
+    assert {r["doc_id"] for r in stages[2].collect()} == want
+    base = [f"w{i}" for i in range(100)]
+    pair = [" ".join(base), " ".join("x" if i in (30, 60) else w for i, w in enumerate(base))]     # 86 of 106 shingles: 0.81
+    far = " ".join("y" if i in (20, 40, 80) else w for i, w in enumerate(base))                    # 81 of 111: 0.73
+    docs = spark.createDataFrame(list(enumerate([*pair, far])), "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.without_near_duplicates(spark, docs, SF_DIR).collect()} == {0, 2}
+
+
 def test_no_item_and_no_secret_is_left(stages, spark):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
     before, after = ({r["doc_id"]: r["text"] for r in s.collect()} for s in stages[2:4])
