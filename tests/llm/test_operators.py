@@ -309,6 +309,30 @@ def test_licence_offsets(spark):
     assert text.encode()[entry["start"]:entry["end"]].decode() == "Licensed under CC BY-NC 4.0"
 
 
+NOTICES = {
+    "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "LGPL-3.0",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "AGPL-3.0",
+    "GNU Lesser General Public License, version 2.1": "LGPL-2.1", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+    "Creative Commons Attribution-NonCommercial 4.0 International": "CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International": "CC-BY-NC-ND-4.0",
+    "Licensed under CC BY-ND 4.0": "CC-BY-ND-4.0", "Licensed under CC BY-SA 3.0.": "CC-BY-SA-3.0", "Released under the BSD License": "BSD", "Licensed under the ISC License": "ISC",
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Licensed under the GNU General Public License": "GPL",
+}
+
+
+def test_a_stretch_goes_to_its_best_licence(spark):
+    both = "This work is licensed under the GNU General Public License, version 3. Some words between. Work is licensed under the GNU General Public License, version 2."
+    rows = [*NOTICES, both, *(t for v in licenses.TEMPLATES.values() for t in v)]
+    got = [r for r in licenses.scanned(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    for r, (text, name) in zip(got, NOTICES.items()):
+        assert [x["license"] for x in r["licenses"]] == [name] and r["n_licenses"] == 1 and r["dice"] > 0.95, text
+        assert name not in {x["license"] for x in r["alternatives"]}
+    assert "GPL-2.0" in {x["license"] for x in got[3]["alternatives"]}
+    assert {x["license"] for x in got[len(NOTICES)]["licenses"]} == {"GPL-3.0", "GPL-2.0"}
+    assert licenses.Matcher({"X-1.0": ("one two three four five version 1",)}, 0.8).decided(b"one two three four five version 9")[0] == []
+    names = [n for n, v in licenses.TEMPLATES.items() for _ in v]
+    assert [r["license"] for r in got[len(NOTICES) + 1:]] == names and all(r["dice"] == 1.0 for r in got[len(NOTICES) + 1:])
+
+
 def test_language_edge_rows(spark, docs):
     rows = [(i, "der die das und nicht ein" if i % 2 else "the of and to in that", "de" if i % 2 else "en") for i in range(60)] + [(900, None, "de"), (901, "123 !!", "en"), (902, "", None), (None, "the and of", "en")]
     got = {r["doc_id"]: r for r in langid.identified(spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit(1))).collect()}
