@@ -20,7 +20,11 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 ASSIGN_LENGTH = 8
 #: Runs that the models judge, and the ratio per step above which one is taken for random.
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+SHORTEST = 20
+RUN = rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
+#: What may join a secret to its neighbours, and the pieces of a run without it.
+SEPARATORS = "+/_=-"
+PIECE = rf"[A-Za-z0-9]{{{SHORTEST},}}"
 RATIO = 0.6
 #: Documents, and made-up random strings, that the models learn from (about; chosen by hash of doc_id).
 SAMPLE_DOCUMENTS, SAMPLE_STRINGS = 3000, 4000
@@ -95,10 +99,30 @@ def ratio(run: Column, table: np.ndarray) -> Column:
     return F.aggregate(steps, F.lit(0.0), lambda s, x: s + x) / F.greatest(size, F.lit(1))
 
 
+def _left_over(run: Column) -> Column:
+    """The parts of a run that no base span covers; separators next to a base span belong to no part."""
+    cuts = F.filter("base_spans", lambda b: (b["start"] < run["end"]) & (b["end"] > run["start"]))
+    parts = "array<struct<start: bigint, rank: int, kind: string, end: bigint, match: string>>"
+
+    def part(start: Column, end: Column) -> Column:
+        text = F.substr(run["match"], (start - run["start"] + 1).cast("int"), F.greatest(F.lit(0), end - start).cast("int"))
+        head = F.when(start > run["start"], F.length(text) - F.length(F.ltrim(text, F.lit(SEPARATORS)))).otherwise(0)
+        text = F.substr(text, (head + 1).cast("int"))
+        text = F.when(end < run["end"], F.rtrim(text, F.lit(SEPARATORS))).otherwise(text)
+        return F.when(F.length(text) > 0, F.array(F.struct(
+            (start + head).cast("long").alias("start"), run["rank"].alias("rank"), run["kind"].alias("kind"), (start + head + F.length(text)).cast("long").alias("end"), text.alias("match")))
+        ).otherwise(F.array()).cast(parts)
+
+    start = F.struct(run["start"].alias("at"), F.array().cast(parts).alias("parts"))
+    step = lambda done, b: F.struct(F.greatest(done["at"], b["end"]).alias("at"), F.concat(done["parts"], part(done["at"], b["start"])).alias("parts"))
+    return F.when(F.size(cuts) == 0, F.array(run).cast(parts)).otherwise(
+        F.aggregate(cuts, start, step, lambda done: F.concat(done["parts"], part(done["at"], run["end"]))))
+
+
 def with_spans(docs: DataFrame, table: np.ndarray, threshold: float = RATIO) -> DataFrame:
     """docs with the columns base_spans and secret_spans, of type SPAN, by start and kind; a null text has none.
 
-    A run that overlaps a base span is no span of its own.
+    What base spans leave of a run is judged part by part; of a part that is not taken as a whole, the pieces between separators.
     """
     text = F.coalesce("text", F.lit(""))
     found = docs.withColumns({
@@ -108,10 +132,15 @@ def with_spans(docs: DataFrame, table: np.ndarray, threshold: float = RATIO) ->
         "_runs": _matches(text, RUN, "markov"),
     })
     found = found.withColumn("base_spans", F.array_sort(F.concat(_plain(F.col("_assign")), _plain(F.col("_access")), _plain(F.col("_hex")))))
-    free = F.filter("_runs", lambda r: ~F.exists("base_spans", lambda b: (b["start"] < r["end"]) & (b["end"] > r["start"])))
-    found = found.withColumn("_runs", free)
-    judged = F.filter("_runs", lambda r: ratio(r["match"], table) > threshold)
-    return found.withColumn("secret_spans", F.array_sort(F.concat("base_spans", _plain(judged)))).drop("_assign", "_access", "_hex", "_runs")
+    found = found.withColumn("_parts", F.flatten(F.transform("_runs", _left_over)))
+
+    def taken(part: Column) -> Column:
+        pieces = _matches(part["match"], PIECE, "markov", lambda s: ratio(s["match"], table) > threshold)
+        moved = F.transform(_plain(pieces), lambda s: F.struct((s["start"] + part["start"]).alias("start"), s["rank"].alias("rank"), s["kind"].alias("kind"), (s["end"] + part["start"]).alias("end")))
+        return F.when((F.length(part["match"]) >= SHORTEST) & (ratio(part["match"], table) > threshold), _plain(F.array(part))).otherwise(moved)
+
+    judged = F.flatten(F.transform("_parts", taken))
+    return found.withColumn("secret_spans", F.array_sort(F.concat("base_spans", judged))).drop("_assign", "_access", "_hex", "_runs", "_parts")
 
 
 def _listed(spans: str) -> Column:
