@@ -3,8 +3,8 @@
 Which suffixes are indexed: of each string of `length` bytes, the one that starts at the smallest hash of SEED bytes in it.
 Equal strings choose the same suffix, so a repeat always shares an indexed one, and only about one position in 180 is kept.
 A suffix array here is a table of such suffixes in the order of the hash of their first SEED bytes, then of the hash of the
-stretch of text whose strings chose it. New batches are sorted into such arrays, merge-scanned against every level for
-suffixes that occur there too, and levels of equal size are merged, so a family over n batches has at most log2(n) levels.
+stretch of text whose strings chose it. New batches are sorted into such arrays, joined on the hash with every level for
+suffixes that occur there too (the order is not used for that), and levels of equal size are merged, so a family over n batches has at most log2(n) levels.
 
 What repeats, exactly: suffixes that are found twice are put into classes of equal stretches. A class of two or more repeats
 as a whole. A stretch that is alone, though its suffix is not (at the ends of a copied passage), is compared string by
