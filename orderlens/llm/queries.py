@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as named queries over the given tables, with SQL checks where SQL can say the same."""
+"""The operators and the pipeline as named queries over the given tables, with SQL checks where SQL can say the same."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, fertility, langid, licenses, minhash, packing, secrets, suffix_index, toxicity
+from . import chat, collocations, decontaminate, fertility, langid, licenses, minhash, packing, secrets, suffix_index, token_counts, toxicity, vector_codes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,10 +57,23 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_table(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_secret_scans, op3_chat_formatting, op4_quality_rules, op5_minhash_near_dedup, op6_suffix_array_dedup,
-        op7_license_scans, op8_language_id, op9_benchmark_decontamination, op10_best_fit_packing)
+        op7_license_scans, op8_language_id, op9_benchmark_decontamination, op10_best_fit_packing, op11_phrase_collocations,
+        op12_token_counts, op13_vector_codes)
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
@@ -76,7 +89,47 @@ def _turn_length() -> str:
     return f"CASE role {known} ELSE {sum(map(len, _T.other))} + length(regexp_replace(role, {_MARKED})) END"
 
 
+def _vector_codes_sql(parts: int = 8, codes: int = 16, rounds: int = 6) -> str:
+    """All rounds spelled out; for vectors of 64 components."""
+    width = 64 // parts
+    far = " + ".join(f"(x[{i}] - c[{i}]) * (x[{i}] - c[{i}])" for i in range(1, width + 1))
+    steps = [f"""k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda y: floor(4096 * y::DOUBLE)::BIGINT) AS v FROM embeddings
+     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NOT NULL AND isfinite(y))) = len(embedding)),
+p AS MATERIALIZED (SELECT vec_id, label, part, v[part * {width} + 1:part * {width} + {width}] AS x FROM k, unnest(range({parts})) AS t(part)),
+c0 AS MATERIALIZED (SELECT part, entry, x AS c FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k ORDER BY vec_id LIMIT {codes}) USING (vec_id))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, any_value(label) AS label, part, any_value(x) AS x, min(({far}, entry)) AS best
+     FROM p JOIN c{r} USING (part) GROUP BY vec_id, part)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (SELECT part, entry, place, sum(y) AS s, count(*) AS n
+     FROM (SELECT part, best[2] AS entry, unnest(x) AS y, unnest(range({width})) AS place FROM a{r}) GROUP BY ALL),
+m{r} AS (SELECT part, entry, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY place) AS c FROM s{r} GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (part, entry))""")
+    last = f"a{rounds}"
+    return f"""WITH {", ".join(steps)},
+e AS (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error FROM {last} GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256 FROM e"""
+
+
 ORACLES: dict[str, str] = {
+    "op13_vector_codes": _vector_codes_sql(),
+    "op11_phrase_collocations": r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+spread AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (SELECT lang, w[i:i + size - 1] AS g FROM spread, unnest([1, 2, 3]) AS z(size) WHERE i + size - 1 <= len(w)),
+f AS MATERIALIZED (SELECT lang, g, count(*) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+often AS MATERIALIZED (SELECT * FROM f WHERE f >= 10),
+candidates AS (SELECT lang, g, f AS a FROM often WHERE len(g) > 1),
+longer AS (SELECT lang, part, max(a) AS most FROM (SELECT lang, a, unnest([g[1:2], g[2:3]]) AS part FROM candidates WHERE len(g) = 3) GROUP BY ALL),
+kept AS (SELECT c.lang, c.g, c.a FROM candidates c LEFT JOIN longer o ON o.lang = c.lang AND o.part = c.g WHERE o.most IS NULL OR 100 * o.most < 50 * c.a),
+cuts AS (SELECT lang, g, a, k FROM kept, unnest([1, 2]) AS z(k) WHERE k < len(g)),
+scored AS (SELECT c.lang, c.g, c.a, min((((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT, k, x.f, y.f)) AS b
+           FROM cuts c JOIN often x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN often y ON y.lang = c.lang AND y.g = c.g[k + 1:] GROUP BY ALL),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY b[1] DESC, a DESC, array_to_string(g, ' ')) AS rank, array_to_string(g, ' ') AS phrase, a, b FROM scored)
+SELECT lang, rank, phrase, a, b[3] AS l, b[4] AS r, n, b[1] AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
     "op3_chat_formatting": f"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
