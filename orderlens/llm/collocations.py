@@ -1,11 +1,17 @@
 """Phrase collocation mining: phrases whose words meet more often than their parts' counts suggest, per language.
 
-Counting is done by HAT-tries. A task numbers the words it meets; its trie has one subtree for each language and first word.
-A subtree is a hash container from the rest of a phrase to its count, and bursts into containers by second word when it grows
-past `BURST` phrases. When a task's trie holds more than `TRIE_PHRASES`, its largest subtrees are spilled whole, as sorted runs,
-until half of that is left. Runs are written to the shared folder and dealt out by ranges of (language, phrase), so that each
-partition merges the runs of its own prefixes; a prefix with very many phrases is cut by the range, and equal phrases
-meet as one row per run. No task holds all phrases of a word or of a language.
+Counting is done by HAT-tries. A task numbers the words it meets; its trie has one subtree for each language
+and first word (one for all single words of a language). A subtree is a hash container from the rest of a phrase to its
+count, and bursts into containers by second word when it grows past `BURST` phrases. When a task's trie holds more than
+`TRIE_PHRASES`, its largest subtrees are spilled whole, as sorted runs, until half of that is left. Runs are dealt out by
+prefix (language and first two words), and each partition merges the runs of its own prefixes; equal phrases meet as one
+row per run. No task holds all phrases of a word or of a language.
+
+A phrase occurs at most as often as its parts, so pairs are only counted of words that occur `least` times, and triples only of
+such pairs. Words come first; then tasks send 64-bit hashes of the pairs of frequent words, with counts; then pairs whose hash
+occurs `least` times, and triples of two such pairs, are counted in full. Tasks know what is frequent from a bitmap of
+hashes, which is broadcast: at most 2^28 bits, whatever the size of the corpus. A hash that collides lets a phrase be counted
+that could be left out, and changes no result.
 
 What counts (n: all words; f: all contiguous occurrences within a piece, overlaps included) covers every text in full. Texts
 are read in blocks, and the last two words go over into the next block, so a very long text costs no more memory than a short one.
@@ -25,10 +31,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Workspace, text_batches
+from .common import Workspace, mixed, text_batches
 
 #: A subtree's hash container bursts at so many phrases, and a task's trie spills at so many.
 BURST, TRIE_PHRASES = 4096, 600_000
@@ -36,24 +44,53 @@ BURST, TRIE_PHRASES = 4096, 600_000
 TRIE_WORDS, BITS = 400_000, 21
 #: Bytes of text that are cut into words at once.
 BLOCK = 1 << 20
+#: Bits of the map of frequent words or pairs: so many for each, in all between the two powers of two.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 20, 28
 UNDETERMINED = "und"
 #: Lower case for A-Z; line breaks for what ends a piece; blanks for tabs.
 _FOLDED = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
 _GROUPS_IN_ONE = 16
 
 
+class Frequent:
+    """Which words or pairs may be frequent: a bitmap by hash."""
+
+    def __init__(self, bitmap: bytes):
+        self.raw, self.bitmap, self.mask = bitmap, np.frombuffer(bitmap, dtype=np.uint8), 8 * len(bitmap) - 1
+
+    def has_word(self, word: bytes) -> int:
+        place = xxhash.xxh64_intdigest(word, 42) & self.mask
+        return self.raw[place >> 3] >> (place & 7) & 1
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        place = (hashes & np.uint64(self.mask)).astype(np.int64)
+        return (self.bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def pair_hashes(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Of pairs of words, from the words' hashes."""
+    start = np.uint64(xxhash.xxh64_intdigest(lang, 7))
+    return mixed((start ^ first) * np.uint64(0x9E3779B97F4A7C15) + second)
+
+
 class WordNumbers(dict):
-    """Numbers of words as they come; 0 ends a piece, -1 is no word."""
+    """Numbers of words as they come; 0 ends a piece, as do words that cannot be in a frequent phrase."""
 
-    def __init__(self):
-        super().__init__({b"\n": 0, b"": -1})
-        self.words = [b""]
+    def __init__(self, frequent: Frequent | None = None):
+        super().__init__({b"\n": 0})
+        self.words, self.frequent, self.hashes = [b""], frequent, np.zeros(1, dtype=np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.words)
-        self.words.append(word)
+        number = self[word] = len(self.words) if self.frequent is None or self.frequent.has_word(word) else 0
+        if number:
+            self.words.append(word)
         return number
 
+    def hashes_of(self, numbers: np.ndarray) -> np.ndarray:
+        if new := self.words[len(self.hashes):]:
+            self.hashes = np.append(self.hashes, np.array([xxhash.xxh64_intdigest(w, 42) for w in new], dtype=np.uint64))
+        return self.hashes[numbers]
+
 
 class Subtree:
     """Phrases of one first word: a hash container of their rests, or, once burst, one such container per second word."""
@@ -107,12 +144,12 @@ class Subtree:
 class HatTrie:
     """A task's phrase counts, with subtrees by language and first word."""
 
-    def __init__(self, burst: int = BURST, most_phrases: int = TRIE_PHRASES, most_words: int = TRIE_WORDS):
-        self.burst, self.most_phrases, self.most_words = burst, most_phrases, most_words
+    def __init__(self, frequent: Frequent | None = None, burst: int = BURST, most_phrases: int = TRIE_PHRASES, most_words: int = TRIE_WORDS):
+        self.frequent, self.burst, self.most_phrases, self.most_words = frequent, burst, most_phrases, most_words
         self._clear()
 
     def _clear(self) -> None:
-        self.numbers, self.subtrees, self.size = WordNumbers(), {}, 0
+        self.numbers, self.subtrees, self.size = WordNumbers(self.frequent), {}, 0
 
     def add(self, lang: str, keys: np.ndarray, counts: np.ndarray) -> None:
         """Sorted, distinct phrase keys and their counts."""
@@ -127,7 +164,7 @@ class HatTrie:
 
     def runs(self) -> Iterator[pa.RecordBatch]:
         """What has to be spilled by now."""
-        if len(self.numbers.words) > self.most_words:
+        if len(self.numbers) > self.most_words:
             yield from self.all()
         elif self.size > self.most_phrases:
             largest, spilled = sorted(self.subtrees, key=lambda k: -self.subtrees[k].size), []
@@ -150,7 +187,7 @@ class HatTrie:
         sizes = [len(p[2]) for p in parts]
         lang, first = (np.repeat([p[k] for p in parts], sizes) for k in (0, 1))
         rest, counts = (np.concatenate([p[k] for p in parts]) for k in (2, 3))
-        phrase = np.stack([first, rest >> BITS, rest & ((1 << BITS) - 1)])
+        phrase = np.stack([np.where(first > 0, first, rest), rest >> BITS, np.where(first > 0, rest & ((1 << BITS) - 1), 0)])
         used, places = np.unique(phrase, return_inverse=True)
         words = [self.numbers.words[i] for i in used.tolist()]
         ranked = sorted(range(len(words)), key=words.__getitem__)
@@ -175,45 +212,108 @@ def blocks(text: bytes, size: int = BLOCK) -> Iterator[bytes]:
         start = end
 
 
-def phrase_keys(numbers: np.ndarray, new: int) -> np.ndarray:
-    """Keys of all phrases of 1 to 3 words that end in numbers[new:]."""
-    one = np.maximum(numbers, 0)
-    two = np.where((one[:-1] > 0) & (one[1:] > 0), one[:-1] << BITS | one[1:], 0)
-    three = np.where((two[:-1] > 0) & (one[2:] > 0), two[:-1] << BITS | one[2:], 0)
-    keys = np.concatenate([one[new:] << 2 * BITS, two[max(0, new - 1):] << BITS, three[max(0, new - 2):]])
+def phrase_keys(words: WordNumbers, lang: str, numbers: np.ndarray, new: int, pairs: Frequent | None) -> np.ndarray:
+    """Keys of the phrases that end in numbers[new:]: single words, or, given the frequent pairs, pairs and triples of these.
+
+    A single word has no first word in its key.
+    """
+    if pairs is None:
+        keys = numbers[new:]
+        return keys[keys > 0]
+    first, second = numbers[:-1], numbers[1:]
+    hashes = words.hashes_of(numbers)
+    good = (first > 0) & (second > 0) & pairs.holds(pair_hashes(lang, hashes[:-1], hashes[1:]))
+    two = np.where(good, first << 2 * BITS | second << BITS, 0)
+    three = np.where(good[:-1] & good[1:], two[:-1] | numbers[2:], 0)
+    keys = np.concatenate([two[max(0, new - 1):], three[max(0, new - 2):]])
     return keys[keys > 0]
 
 
-def _count(burst: int, most_phrases: int, most_words: int, block: int):
+def _numbered(batches: Iterator[pa.RecordBatch], words_of, block: int) -> Iterator[tuple[str, np.ndarray, int]]:
+    """(language, word numbers, how many of them were there before) of all texts, block by block."""
+    for batch, texts in text_batches(batches):
+        by_lang: dict[str, list[bytes]] = {}
+        for lang, text in zip(batch.column("lang").to_pylist(), texts):
+            by_lang.setdefault(UNDETERMINED if lang is None else lang, []).append(text)
+        for lang, own in by_lang.items():
+            carried: list[bytes] = []
+            for part in blocks(b"\n".join(own).translate(_FOLDED), block):
+                words = carried + [w for w in part.replace(b"\n", b" \n ").split(b" ") if w]
+                yield lang, np.fromiter(map(words_of().__getitem__, words), dtype=np.int64, count=len(words)), len(carried)
+                carried = words[-2:]
+
+
+def _count(words_map: Broadcast | None, pairs_map: Broadcast | None, block: int, limits: dict):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = HatTrie(burst, most_phrases, most_words)
-        for batch, texts in text_batches(batches):
-            by_lang: dict[str, list[bytes]] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), texts):
-                by_lang.setdefault(UNDETERMINED if lang is None else lang, []).append(text)
-            for lang, own in by_lang.items():
-                carried: list[bytes] = []
-                for part in blocks(b"\n".join(own).translate(_FOLDED), block):
-                    words = [w for w in part.replace(b"\n", b" \n ").split(b" ") if w]
-                    numbers = np.fromiter(map(trie.numbers.__getitem__, carried + words), dtype=np.int64, count=len(carried) + len(words))
-                    keys, counts = np.unique(phrase_keys(numbers, len(carried)), return_counts=True)
-                    carried = (carried + words)[-2:]
-                    trie.add(lang, keys, counts)
-                    yield from trie.runs()
+        frequent, pairs = (None if m is None else Frequent(m.value) for m in (words_map, pairs_map))
+        trie = HatTrie(frequent, **limits)
+        for lang, numbers, known in _numbered(batches, lambda: trie.numbers, block):
+            if pairs is None or len(numbers) > 1:
+                trie.add(lang, *np.unique(phrase_keys(trie.numbers, lang, numbers, known, pairs), return_counts=True))
+            yield from trie.runs()
         yield from trie.all()
 
     return count
 
 
-def sorted_runs(docs: DataFrame, burst: int = BURST, most_phrases: int = TRIE_PHRASES, most_words: int = TRIE_WORDS, block: int = BLOCK) -> DataFrame:
-    """(lang, w1, w2, w3, f): the spilled runs of all tasks, a phrase once in each run."""
-    return docs.select("lang", "text").mapInArrow(_count(burst, most_phrases, most_words, block), "lang string, w1 string, w2 string, w3 string, f bigint")
+def sorted_runs(docs: DataFrame, words_map: Broadcast | None = None, pairs_map: Broadcast | None = None, block: int = BLOCK, **limits) -> DataFrame:
+    """(lang, w1, w2, w3, f): the spilled runs of all tasks, a phrase once in each. Of single words, or of pairs and triples where these are frequent."""
+    return docs.select("lang", "text").mapInArrow(_count(words_map, pairs_map, block, limits), "lang string, w1 string, w2 string, w3 string, f bigint")
+
+
+def _added_up(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    hashes, places = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+    return hashes, np.bincount(places, np.concatenate([n for _, n in held])).astype(np.int64)
+
+
+def _hash_pairs(words_map: Broadcast, block: int, most: int):
+    def run(held: list) -> pa.RecordBatch:
+        hashes, counts = _added_up(held)
+        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["hash", "f"])
+
+    def hash_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, held, size = WordNumbers(Frequent(words_map.value)), [], 0
+        for lang, numbers, known in _numbered(batches, lambda: words, block):
+            first, second = numbers[max(0, known - 1):-1], numbers[max(1, known):]
+            good = (first > 0) & (second > 0)
+            keys, counts = np.unique(first[good] << BITS | second[good], return_counts=True)
+            held.append((pair_hashes(lang, words.hashes_of(keys >> BITS), words.hashes_of(keys & (1 << BITS) - 1)), counts))
+            size += len(keys)
+            if size > 2 * most:
+                held = [_added_up(held)]
+                size = len(held[0][0])
+            if size > most or len(words) > TRIE_WORDS:
+                yield run(held)
+                held, size = [], 0
+                if len(words) > TRIE_WORDS:
+                    words = WordNumbers(words.frequent)
+        if held:
+            yield run(held)
+
+    return hash_pairs
+
+
+def pair_hash_counts(docs: DataFrame, words_map: Broadcast, block: int = BLOCK, most: int = 2 * TRIE_PHRASES) -> DataFrame:
+    """(hash, f): pairs of frequent words, by hash; tasks add up as many as `most` before they send them."""
+    runs = docs.select("lang", "text").mapInArrow(_hash_pairs(words_map, block, most), "hash bigint, f bigint")
+    return runs.groupBy("hash").agg(F.sum("f").alias("f"))
+
+
+def frequent_map(hashes: DataFrame) -> Broadcast:
+    """The bitmap of all hashes(hash), broadcast. However many there are, the driver holds 2**MOST_BITS bits at most."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (BITS_EACH * hashes.count()).bit_length()))
+    places = hashes.select(F.col("hash").bitwiseAND(F.lit((1 << bits) - 1)).alias("place"))
+    # 4096 bytes in a row
+    maps = places.groupBy(F.expr("place div 32768").alias("bucket")).agg(F.bitmap_construct_agg(F.expr("place % 32768")).alias("bitmap"))
+    whole = bytearray((1 << bits) // 8)
+    for row in maps.toLocalIterator():
+        whole[row["bucket"] * 4096:row["bucket"] * 4096 + 4096] = row["bitmap"]
+    return hashes.sparkSession.sparkContext.broadcast(bytes(whole))
 
 
 def merged(runs: DataFrame) -> DataFrame:
-    """Counts of phrases: the runs dealt out by ranges of their prefixes, and added up there."""
-    phrase = ["lang", "w1", "w2", "w3"]
-    return runs.repartitionByRange(*phrase).groupBy(*phrase).agg(F.sum("f").alias("f"))
+    """Counts of phrases: the runs dealt out by prefix, and added up there."""
+    return runs.repartition("lang", "w1", "w2").groupBy("lang", "w1", "w2", "w3").agg(F.sum("f").alias("f"))
 
 
 def _scored(counts: DataFrame, share: int) -> DataFrame:
@@ -248,15 +348,19 @@ def best_of_each(scored: DataFrame, first: int, groups: int) -> DataFrame:
     return left.withColumn("rank", ranked).where(F.col("rank") <= first).drop("group")
 
 
-def collocations(docs: DataFrame, least: int = 10, share: int = 50, first: int = 2000, **trie) -> DataFrame:
+def collocations(docs: DataFrame, least: int = 10, share: int = 50, first: int = 2000, block: int = BLOCK, **limits) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of each language's best phrases in docs(lang, text); see the module's notes."""
     spark = docs.sparkSession
     space = Workspace(spark, "collocations")
-    runs = space.store(sorted_runs(docs, **trie))
-    counts = space.store(merged(runs).where(F.col("f") >= least))
-    words = space.store(runs.where("w2 = ''").groupBy("lang").agg(F.sum("f").alias("n")))
-    space.drop(runs)
+    words = space.store(merged(sorted_runs(docs, block=block, **limits)))
+    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
+    often = words.where(F.col("f") >= least)
+    words_map = frequent_map(often.select(F.xxhash64("w1").alias("hash")))
+    hashes = space.store(pair_hash_counts(docs, words_map, block).where(F.col("f") >= least).select("hash"))
+    phrases = space.store(merged(sorted_runs(docs, words_map, frequent_map(hashes), block, **limits)).where(F.col("f") >= least))
+    space.drop(hashes)
+    counts = often.union(phrases)
     groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranked = best_of_each(_scored(counts, share), first, groups)
     # one row for each language
-    return ranked.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
