@@ -38,6 +38,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
+    os.environ.setdefault("PYSPARK_SUBMIT_ARGS", "--driver-memory 12g pyspark-shell")
     spark = build_session(f"local[{cpus}]", int(cpus))
     spark.sparkContext.setLogLevel("ERROR")
     timed(spark, "agg_05_accepted_revenue", sf_dir)     # start-up, not counted

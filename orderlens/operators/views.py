@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderlens.functions.scalars import average, money_sum
 from orderlens.functions.specs import order_spec
-from orderlens.operators.ordering import Arranged, arrange
-from orderlens.schemas import ACCEPTED, ORDER_COLUMNS
+from orderlens.operators.ordering import SEGMENT, Arranged, arrange
+from orderlens.schemas import ACCEPTED, MONEY, ORDER_COLUMNS
 
 # arrival of rows read from a topic
 TOPIC_ARRIVAL = ["arrival_time", "partition", "offset"]
@@ -36,33 +36,66 @@ def repeat_guard(orders: DataFrame, arrival: Sequence[str], segments: int | None
     return placed.with_rows(placed.rows.withColumn("kept", ~repeated))
 
 
+def _cents_and_rest(amount: Column) -> tuple[Column, Column]:
+    """Money as cents-exact decimals, and what is too large for them as doubles; both can be added in any order of partitions."""
+    cents = amount.try_cast(MONEY)
+    return cents, F.when(cents.isNull(), amount)
+
+
+def _customers_reduced(orders: DataFrame, arrival: Sequence[str], segments: int | None = None) -> DataFrame:
+    """One row per customer: head (the first order), and more, spent, latest and last_order_id of the orders kept after it.
+
+    A segment gives one row per customer, in which only its first order is undecided: whether it is kept depends on the last
+    order of the segment before. So rows are dealt out once, and what meets per customer are at most as many rows as
+    segments.
+    """
+    placed = arrange(_customer_columns(orders, arrival), "customer_id", arrival, segments)
+    w = placed.window
+    local = placed.rows.withColumns({"rn": F.row_number().over(w), "before": F.lag("order_id").over(w)})
+    later = (F.col("rn") > 1) & ~F.col("before").eqNullSafe(F.col("order_id"))
+    seen = F.struct("order_id", "timestamp", "total")
+    cents, rest = _cents_and_rest(F.col("total"))
+    parts = local.groupBy(SEGMENT, "customer_id").agg(
+        F.count_if(later).alias("more"),
+        F.sum(F.when(later, cents)).alias("cents"), F.sum(F.when(later, rest)).alias("rest"),
+        F.min_by(seen, placed.order_struct).alias("head"),
+        F.max_by(seen, F.when(later, placed.order_struct)).alias("latest"),
+        F.max_by("order_id", placed.order_struct).alias("last_order_id"),
+    )
+    across = Window.partitionBy("customer_id").orderBy(SEGMENT)
+    joined = parts.withColumns({"nth": F.row_number().over(across), "before": F.lag("last_order_id").over(across)})
+    kept = (F.col("nth") > 1) & ~F.col("before").eqNullSafe(F.col("head.order_id"))
+    cents, rest = _cents_and_rest(F.col("head.total"))
+    latest = F.coalesce("latest", F.when(kept, F.col("head")))
+    none = F.lit(0).cast(MONEY)
+
+    def spent(with_head: Column) -> Column:
+        exact = F.sum(F.coalesce("cents", none) + F.coalesce(F.when(with_head, cents), none))
+        return exact.cast("double") + F.sum(F.coalesce("rest", F.lit(0.0)) + F.coalesce(F.when(with_head, rest), F.lit(0.0)))
+
+    return joined.groupBy("customer_id").agg(
+        (F.sum("more") + F.count_if(kept)).alias("more"),
+        spent(kept).alias("spent"), spent(kept | (F.col("nth") == 1)).alias("spent_with_head"),
+        F.min_by("head", SEGMENT).alias("head"),
+        F.max_by(latest, F.when(latest.isNotNull(), F.col(SEGMENT))).alias("latest"),
+        F.max_by("last_order_id", SEGMENT).alias("last_order_id"),
+    )
+
+
 def customer_stats(orders: DataFrame, arrival: Sequence[str], segments: int | None = None) -> DataFrame:
     """Per-customer statistics; "last" and "first" follow arrival, not the largest timestamp."""
-    placed = repeat_guard(_customer_columns(orders, arrival), arrival, segments)
-    latest = F.max_by(F.struct("order_id", "timestamp"), placed.order_struct)
-    grouped = (
-        placed.rows.filter("kept").groupBy("customer_id")
-        .agg(
-            F.count("*").alias("total_orders"),
-            money_sum("total").alias("total_spent"),
-            latest.alias("latest"),
-            F.min_by("timestamp", placed.order_struct).alias("first_order_timestamp"),
-        )
-    )
-    return grouped.select(
-        "customer_id", "total_orders", "total_spent",
-        F.col("latest.order_id").alias("last_order_id"),
-        F.col("latest.timestamp").alias("last_order_timestamp"),
-        "first_order_timestamp",
+    reduced = _customers_reduced(orders, arrival, segments)
+    latest = F.coalesce("latest", "head")
+    return reduced.select(
+        "customer_id", (F.col("more") + 1).alias("total_orders"), F.col("spent_with_head").alias("total_spent"),
+        latest["order_id"].alias("last_order_id"), latest["timestamp"].alias("last_order_timestamp"),
+        F.col("head.timestamp").alias("first_order_timestamp"),
     )
 
 
 def customer_totals(orders: DataFrame, arrival: Sequence[str], segments: int | None = None) -> DataFrame:
     """Only the counters of the customer view, for rankings and global sums."""
-    placed = repeat_guard(_customer_columns(orders, arrival), arrival, segments)
-    return placed.rows.filter("kept").groupBy("customer_id").agg(
-        F.count("*").alias("total_orders"), money_sum("total").alias("total_spent"),
-    )
+    return customer_stats(orders, arrival, segments).select("customer_id", "total_orders", "total_spent")
 
 
 def last_time(arrival: Sequence[str], time: str = "timestamp") -> Column:
@@ -209,15 +242,7 @@ def fold_customers(orders: DataFrame, arrival: Sequence[str], state: DataFrame,
     Only the first order of a customer in the batch depends on the stored last order id, so the batch is
     reduced to one row per customer before it meets the state.
     """
-    placed = repeat_guard(_customer_columns(orders, arrival), arrival, segments)
-    later = F.col("kept") & (F.col("rn") > 1)
-    seen = F.struct("order_id", "timestamp", "total")
-    reduced = placed.rows.groupBy("customer_id").agg(
-        F.count_if(later).alias("more"),
-        money_sum(F.when(later, F.col("total"))).alias("spent"),
-        F.min_by(seen, placed.order_struct).alias("head"),
-        F.max_by(seen, F.when(later, placed.order_struct)).alias("latest"),
-    )
+    reduced = _customers_reduced(orders, arrival, segments)
     old = state.select("customer_id", F.struct(*[c for c in state.columns if c != "customer_id"]).alias("old"))
     merged = reduced.join(old, "customer_id", "left")
     keep_head = ~F.coalesce(F.col("old.last_order_id") == F.col("head.order_id"), F.lit(False))

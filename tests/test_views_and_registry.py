@@ -152,12 +152,40 @@ def test_literal_ring(orders):
 
 
 @pytest.mark.parametrize("seed, size, hot", [(1, 3, 0.0), (2, 4, 0.34), (3, 5, 0.5)])
-@pytest.mark.parametrize("tail, longest", [(None, None), (20, 20), (10, 100)])
-def test_ring_equals_full_fold(orders, seed, size, hot, tail, longest):
-    """Short tails that cannot be proven exact must fall back to the chunked replay of everything."""
+@pytest.mark.parametrize("tail, chunk", [(None, 90), (10, 90), (10, 20), (1, 100_000)])
+def test_ring_equals_full_fold(orders, seed, size, hot, tail, chunk):
+    """Tails that cannot be proven exact lead to the scan of all ranges."""
     rows = random_rows(seed, 400, ids=60, hot=hot)
-    got = ring_ids(orders(*rows), size=size, tail_rows=tail, max_tail=longest, chunk_rows=90)
-    assert got == folds.ring(as_dicts(rows), size)
+    assert ring_ids(orders(*rows), size=size, tail_rows=tail, chunk_rows=chunk) == folds.ring(as_dicts(rows), size)
+
+
+def ring_rows(ids):
+    return [(i, 1, "P", 1, 10.0, 10.0, n + 1, "pending") for n, i in enumerate(ids)]
+
+
+@pytest.mark.parametrize("ids", [
+    ["A", "B"] * 200,                                                     # two ids in turn, for ever
+    ["A"] * 400,                                                          # one id
+    [f"N{n}" for n in range(40)] + ["N39", "N38"] * 150,                  # a settling run, then few ids that are in the ring
+    [f"N{n}" for n in range(40)] + ["N39", "N3", "N38", "N5"] * 80,       # ... and some that are not
+    [f"C{n % 7}" for n in range(400)],                                    # more ids than the ring holds, round and round
+    ["A" if n % 2 else f"N{n}" for n in range(400)],                      # a hot id between new ones
+])
+@pytest.mark.parametrize("chunk", [30, 100_000])
+def test_ring_without_a_settling_tail(orders, ids, chunk):
+    rows = ring_rows(ids)
+    assert ring_ids(orders(*rows), size=5, tail_rows=3, chunk_rows=chunk) == folds.ring(as_dicts(rows), 5)
+
+
+def test_latest_run_is_found_over_borders(orders):
+    """The run of different ids lies over several ranges, none of which holds it."""
+    ids = ["A", "B"] * 20 + [f"N{n}" for n in range(60)] + ["N59", "N58"] * 20
+    rows = ring_rows(ids)
+    ranges = timeline._scanned(orders(*rows), ARRIVAL, 15)
+    assert len(ranges) == 8 and all(r.settled is None for r in ranges)
+    number, at = timeline._latest_run(ranges, 15)
+    assert at == (55,) and ranges[number].first <= at
+    assert ring_ids(orders(*rows), size=15, tail_rows=3) == folds.ring(as_dicts(rows), 15)
 
 
 def test_ring_continues(orders):
