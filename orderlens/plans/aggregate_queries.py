@@ -258,10 +258,10 @@ def _(spark, d):
                          F.col("last.timestamp").alias("last_order_timestamp"), "first_order_timestamp")
 
 
-@query("reg_01_needs_update", check("capproved cregistered", """
-SELECT o.order_id, o.a1, o.a2, o.timestamp, o.total, o.quantity,
-       r.order_id IS NULL OR r.status <> o.status OR r.quantity <> o.quantity OR r.total <> o.total AS needs_update
-FROM capproved o LEFT JOIN cregistered r ON o.order_id = r.order_id"""))
+@query("reg_01_needs_update", check("csteps", """
+SELECT order_id, a1, a2, timestamp, total, quantity,
+       CASE WHEN n = 1 THEN 'accepted' ELSE last_value(status) OVER whole END <> status OR q1 <> quantity OR t1 <> total AS needs_update
+FROM csteps WINDOW whole AS (PARTITION BY order_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""))
 def _(spark, d):
     stored = i.registered(spark, d).select("order_id", F.struct("status", "quantity", "total").alias("existing"))
     incoming = registry.approved(i.clean(spark, d)).withColumn("incoming", F.struct("status", "quantity", "total"))

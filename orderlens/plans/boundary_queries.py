@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from orderlens.functions import codec, rules, specs
@@ -10,7 +12,7 @@ from orderlens.operators import monitor, registry, store, timeline, views
 from orderlens.plans import inputs as i
 from orderlens.plans.aggregate_queries import ORDER_LIST, VALIDATION_STATS
 from orderlens.plans.catalog import query
-from orderlens.plans.checks import GATE, RULES, check, customers_sql, kept_sql, money, registered_sql, steps_sql
+from orderlens.plans.checks import GATE, RULES, ORDER_ARRIVAL as OA, arrival_desc, check, customers_sql, kept_sql, money, registered_sql, steps_sql
 from orderlens.plans.row_queries import RULE_SQL, STRICT
 from orderlens.schemas import ORDER_COLUMNS, TABLES
 from orderlens.session import fresh_dir
@@ -33,6 +35,12 @@ def in_memory_log(spark, d, orders=None):
     return i.messages(i.feed(spark, d) if orders is None else orders).withColumn("topic", F.lit(topics.ORDERS))
 
 
+def delivered(spark, messages, root, topic=topics.ORDERS):
+    """The messages as two batches of a topic, before and after CUT."""
+    for number, part in enumerate([F.unix_millis("timestamp") < CUT, F.unix_millis("timestamp") >= CUT]):
+        topics.write_log(messages.filter(part), root, topic, number)
+
+
 # --- topic and table sources -----------------------------------------------------------------------------------
 
 
@@ -151,24 +159,55 @@ def _(spark, d):
         scanned("registered", "registered_orders", "version"))
 
 
-@query("src_09_key_lookup", check("customers", """
-SELECT customers.* FROM customers JOIN customer ON customer_id = c_custkey WHERE c_mktsegment = 'BUILDING'
-UNION ALL SELECT * FROM customers WHERE customer_id = 42"""))
-def _(spark, d):
-    stats = i.customers(spark, d)
-    wanted = table(spark, d, "customer").filter("c_mktsegment = 'BUILDING'").select(
-        F.col("c_custkey").cast("int").alias("customer_id"))
-    return monitor.lookup_many(stats, wanted, "customer_id").unionByName(monitor.lookup(stats, "customer_id", 42))
+@query("src_09_key_lookup", check("customers products raw cregistered", f"""
+SELECT 'customer' AS source, CAST(customer_id AS VARCHAR) AS key, total_orders AS value FROM customers WHERE customer_id = 42
+UNION ALL SELECT 'customers', CAST(customer_id AS VARCHAR), total_orders FROM customers JOIN customer ON customer_id = c_custkey
+          WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT 'product', product_id, order_count FROM products WHERE product_id = 'PROD-42'
+UNION ALL SELECT 'order', order_id, quantity
+          FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY {arrival_desc(OA)}) AS k FROM raw) WHERE k = 1 AND {STRICT} AND customer_id = 42
+UNION ALL SELECT 'registered', order_id, version FROM cregistered WHERE order_id IN (SELECT order_id FROM clean WHERE customer_id = 42)
+UNION ALL SELECT 'processing', 'query-processor', count(*) FROM feed WHERE {GATE}
+UNION ALL SELECT processor_id, 'validation', total_validated FROM ({VALIDATION_STATS})"""))
+def _(spark, d):
+    # the six tables are stored by bucket, and each look-up opens the buckets of its keys
+    kept = ViewStore(spark, fresh_dir(spark, "src09"))
+    newest = views.last_arrival_per_order(i.uuid_feed(spark, d), ORDER_ARRIVAL)
+    kept.write("orders_by_customer", 0, i.customers(spark, d))
+    kept.write("orders_by_product", 0, i.products(spark, d))
+    kept.write("orders", 0, store.raw_rows(newest.withColumn("unit_price", round_half_up("unit_price", 2))))
+    kept.write("registered_orders", 0, i.registered(spark, d))
+    kept.write("processing_stats", 0, views.processing_stats(i.feed(spark, d), "query-processor"))
+    kept.write("validation_stats", 0, registry.validation_stats(i.feed(spark, d), "registry-processor"))
+    building = table(spark, d, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").cast("int").alias("customer_id"))
+    own, own_raw = (feed.filter("customer_id = 42").select("order_id") for feed in (i.clean(spark, d), i.uuid_feed(spark, d)))
+
+    def found(source, rows, key, value):
+        return rows.select(F.lit(source).alias("source"), F.col(key).cast("string").alias("key"), F.col(value).cast("bigint").alias("value"))
+
+    answers = [
+        found("customer", kept.lookup("orders_by_customer", 42), "customer_id", "total_orders"),
+        found("customers", kept.lookup_many("orders_by_customer", building), "customer_id", "total_orders"),
+        found("product", kept.lookup("orders_by_product", "PROD-42"), "product_id", "order_count"),
+        found("order", kept.lookup_many("orders", own_raw), "order_id", "quantity"),
+        found("registered", kept.lookup_many("registered_orders", own), "order_id", "version"),
+        found("processing", kept.lookup("processing_stats", "query-processor"), "processor_id", "processed_count"),
+    ]
+    validated = kept.lookup("validation_stats", "registry-processor")
+    out = validated.select(F.col("processor_id").alias("source"), F.lit("validation").alias("key"), F.col("total_validated").alias("value"))
+    for answer in answers:
+        out = out.unionByName(answer)
+    return out
 
 
 @query("src_10_order_history", check("cupdates cregistered", """
 SELECT u.order_id, u.version, u.previous_status, u.new_status, r.version - u.version + 1 AS position
 FROM cupdates u JOIN cregistered r ON u.order_id = r.order_id"""))
 def _(spark, d):
-    # every order's history, newest version first; versions are consecutive, so the place follows from them
-    steps = i.steps(spark, d, exact_price=True)
-    newest = registry.registered_orders(steps).select("order_id", F.col("version").alias("newest"))
-    changes = registry.order_updates(steps).join(newest, "order_id")
+    # every order's history, newest version first, from the stored tables, whose two batches have become one run
+    kept = register_in_two_batches(spark, d, "src10", snapshot_every=2)
+    newest = kept.current("registered_orders").select("order_id", F.col("version").alias("newest"))
+    changes = kept.current("order_updates").join(newest, "order_id")
     return changes.select("order_id", "version", "previous_status", "new_status",
                           (F.col("newest") - F.col("version") + 1).alias("position")).orderBy("order_id", "position")
 
@@ -192,10 +231,13 @@ SELECT 'first' AS seek, order_id AS key, partition, "offset" FROM (SELECT * FROM
 UNION ALL SELECT 'last', order_id, partition, "offset"
 FROM (SELECT * FROM placed ORDER BY "offset" DESC, partition DESC LIMIT 100)"""))
 def _(spark, d):
-    log = in_memory_log(spark, d)
-    first = topics.peek(log, topics.ORDERS, 100).select(F.lit("first").alias("seek"), "key", "partition", "offset")
-    last = topics.peek(log, topics.ORDERS, 100, from_beginning=False)
-    return first.unionByName(last.select(F.lit("last").alias("seek"), "key", "partition", "offset"))
+    root = fresh_dir(spark, "src13")
+    delivered(spark, i.messages(i.feed(spark, d)), root)
+
+    def peeked(label, **options):
+        return topics.peek_log(spark, root, topics.ORDERS, 100, **options).select(F.lit(label).alias("seek"), "key", "partition", "offset")
+
+    return peeked("first").unionByName(peeked("last", from_beginning=False))
 
 
 def committed_before(log, millis):
@@ -256,7 +298,7 @@ def _(spark, d):
     kept, batches = in_two_batches(spark, d, "snk04")
     times = ["last_order_timestamp", "first_order_timestamp"]
     for number, batch in enumerate(batches):
-        state = millis(kept.before("orders_by_customer", number), *times)
+        state = millis(kept.touched("orders_by_customer", number, batch), *times)
         kept.write("orders_by_customer", number, views.fold_customers(batch, CUSTOMER_ARRIVAL, state))
     return millis(kept.current("orders_by_customer"), *times)
 
@@ -265,7 +307,7 @@ def _(spark, d):
 def _(spark, d):
     kept, batches = in_two_batches(spark, d, "snk05")
     for number, batch in enumerate(batches):
-        state = millis(kept.before("orders_by_product", number), "last_order_timestamp")
+        state = millis(kept.touched("orders_by_product", number, batch), "last_order_timestamp")
         kept.write("orders_by_product", number, views.fold_products(batch, ORDER_ARRIVAL, state))
     return millis(kept.current("orders_by_product"), "last_order_timestamp")
 
@@ -318,13 +360,12 @@ def _(spark, d):
     return out
 
 
-def register_in_two_batches(spark, d, label):
-    kept = ViewStore(spark, fresh_dir(spark, label))
+def register_in_two_batches(spark, d, label, snapshot_every=20):
+    kept = ViewStore(spark, fresh_dir(spark, label), snapshot_every)
     orders = registry.approved(i.clean(spark, d))
     for number, batch in enumerate([orders.filter(F.col("timestamp") < CUT), orders.filter(F.col("timestamp") >= CUT)]):
-        state = millis(kept.before("registered_orders", number), "registered_at", "updated_at")
-        touched = state.join(batch.select("order_id").distinct(), "order_id", "left_semi")
-        steps = registry.registry_steps(batch, ORDER_ARRIVAL, touched)
+        state = millis(kept.touched("registered_orders", number, batch), "registered_at", "updated_at")
+        steps = registry.registry_steps(batch, ORDER_ARRIVAL, state)
         kept.write("registered_orders", number, registry.registered_orders(steps))
         kept.write("order_updates", number, registry.order_updates(steps))
     return kept
@@ -406,20 +447,30 @@ def _(spark, d):
 # --- routing ----------------------------------------------------------------------------------------------------
 
 
-@query("rou_01_route_by_topic", check("placed", """
-SELECT route, count(*) AS records FROM (
-  SELECT CASE partition WHEN 0 THEN 'validate' WHEN 1 THEN 'register' ELSE 'Unknown topic' END AS route FROM placed) GROUP BY route"""))
-def _(spark, d):
-    # partitions stand for three topics here, one of them unknown
-    named = F.element_at(F.array(F.lit(topics.ORDERS), F.lit(topics.REGISTRY), F.lit("other")), F.col("partition") + 1)
-    routed = topics.route(in_memory_log(spark, d).withColumn("topic", named))
-
-    def counted(df, label):
-        return df.agg(F.count("*").alias("records")).select(label.alias("route"), "records")
-
-    unknown = routed["unknown"].groupBy(F.col("error").alias("route")).agg(F.count("*").alias("records"))
-    return counted(routed["validate"], F.lit("validate")).unionByName(
-        counted(routed["register"], F.lit("register"))).unionByName(unknown)
+@query("rou_01_route_by_topic", check("cplaced", f"""
+SELECT 'consumer' AS job, count(*) AS total, count(*) FILTER (partition <> 2) AS success, count(*) FILTER (partition = 2) AS errors,
+       'Unknown topic' AS reason, count(*) FILTER (partition = 2) AS rejected FROM cplaced
+UNION ALL SELECT 'validate', count(*), count(*) FILTER ({GATE}), count(*) FILTER (NOT {GATE}), NULL, NULL FROM cplaced WHERE partition = 0
+UNION ALL SELECT 'register', count(*), count(*) FILTER ({GATE} AND {RULES}), count(*) FILTER (NOT ({GATE} AND {RULES})),
+       'no approved order', count(*) FILTER (NOT ({GATE} AND {RULES})) FROM cplaced WHERE partition = 1"""))
+def _(spark, d):
+    # one consumer over three topics: orders, registry messages (some of which hold no approved order), and one nobody knows
+    root = fresh_dir(spark, "rou01")
+    placed = i.messages(i.clean(spark, d))
+    topics.write_log(placed.filter("partition = 0"), root, topics.ORDERS)
+    judged = codec.decode_orders(placed.filter("partition = 1")).withColumn("approved", rules.outcome() == rules.APPROVED)
+    sent = rules.validate_orders(judged).select(
+        F.col("order_id").alias("key"),
+        F.when(F.col("approved"), codec.envelope_json(F.unix_millis("arrival_time"))).otherwise(codec.to_json(ORDER_COLUMNS)).alias("value"),
+        "partition", "offset", F.col("arrival_time").alias("timestamp"))
+    topics.write_log(sent, root, topics.REGISTRY)
+    topics.write_log(placed.filter("partition = 2"), root, "other")
+    kept = jobs.open_store(spark, fresh_dir(spark, "rou01-store"))
+    jobs.consumer_job(topics.stream_log(spark, root, [topics.ORDERS, topics.REGISTRY, "other"]), kept, fresh_dir(spark, "rou01-out"),
+                      fresh_dir(spark, "rou01-cp"), once=True).awaitTermination()
+    left_out = jobs.rejects(kept).filter("reason IN ('Unknown topic', 'no approved order')").groupBy("reason").agg(F.count("*").alias("rejected"))
+    left_out = left_out.withColumn("job", F.when(F.col("reason") == "Unknown topic", "consumer").otherwise("register"))
+    return jobs.outcomes(kept).select("job", "total", "success", "errors").join(left_out, "job", "left")
 
 
 @query("rou_02_split_outcomes", check("feed", f"""
@@ -556,51 +607,115 @@ def _(spark, d):
     topics.write_log(sent, root, topics.ORDERS)
     kept = jobs.open_store(spark, fresh_dir(spark, "str07-views"))
     jobs.views_job(topics.stream_log(spark, root), kept, fresh_dir(spark, "str07-cp"), once=True).awaitTermination()
-    return kept.current("rejects").select("partition", "offset", "reason")
+    return jobs.rejects(kept).select("partition", "offset", "reason")
+
+
+LATE_ARRIVAL = 'delivery, timestamp, partition, "offset"'
+_LATE = f"(SELECT *, CASE WHEN timestamp >= {CUT} THEN 0 ELSE 1 END AS delivery FROM placed WHERE {GATE})"
 
 
 @query("str_08_late_data", check("placed", f"""
-SELECT order_id, first_timestamp FROM (
-  SELECT order_id, min(timestamp) AS first_timestamp FROM placed WHERE {GATE} GROUP BY order_id)"""))
-def _(spark, d):
-    # late rows are taken without bound unless the opt-in de-duplication sets one; here one far beyond the data
-    root = i.written_log(spark, i.feed(spark, d), "str08")
-    out = fresh_dir(spark, "str08-out")
-    unique = jobs.first_per_order_stream(topics.stream_log(spark, root), "20000 days").select("order_id")
-    jobs.append_rows(unique, out, fresh_dir(spark, "str08-cp"), once=True).awaitTermination()
-    seen = spark.read.schema(unique.schema).parquet(out)
-    first = i.gated(spark, d).groupBy("order_id").agg(F.min("timestamp").alias("first_timestamp"))
-    return seen.join(first, "order_id")
+SELECT 'unbounded' AS mode, customer_id, last_order_id, last_order_timestamp, total_orders AS taken, 0 AS dropped
+FROM ({customers_sql(f'({kept_sql(_LATE, LATE_ARRIVAL)})', LATE_ARRIVAL)})
+UNION ALL SELECT 'bounded', NULL, NULL, NULL, count(DISTINCT order_id) FILTER (NOT late), count(*) FILTER (late)
+FROM (SELECT order_id, delivery = 1 AND timestamp <= (SELECT max(timestamp) FROM {_LATE} WHERE delivery = 0) - {30 * 86_400_000} AS late FROM {_LATE})"""))
+def _(spark, d):
+    # the newer half of the events is delivered first. The views take the older half too, and "last" follows arrival; the
+    # de-duplicating stream, with its watermark of 30 days, leaves late rows out and counts them
+    root, kept, out, done = (fresh_dir(spark, f"str08-{x}") for x in ("log", "views", "out", "cp"))
+    kept, late = jobs.open_store(spark, kept), 0
+    placed = i.messages(i.feed(spark, d))
+    for number, part in enumerate([F.unix_millis("timestamp") >= CUT, F.unix_millis("timestamp") < CUT]):
+        single = f"{root}/{number}"  # a log for each delivery, as offsets go back
+        topics.write_log(placed.filter(part), single, topics.ORDERS)
+        jobs.run_views_batch(kept, topics.read_log(spark, single).withColumn("topic", F.lit(f"orders-{number}")), number)
+        topics.write_log(placed.filter(part), root, "both", number)
+        query = jobs.append_rows(jobs.first_per_order_stream(topics.stream_log(spark, root, ["both"]), "30 days").select("order_id"), out, done, once=True)
+        query.awaitTermination()
+        late += jobs.dropped_as_late(query)
+    unbounded = millis(kept.current("orders_by_customer"), "last_order_timestamp").select(
+        F.lit("unbounded").alias("mode"), "customer_id", "last_order_id", "last_order_timestamp", F.col("total_orders").alias("taken"),
+        F.lit(0).cast("bigint").alias("dropped"))
+    taken = spark.read.schema("order_id string").parquet(out).agg(F.count("*").alias("taken"))
+    return unbounded.unionByName(taken.select(F.lit("bounded").alias("mode"), "taken", F.lit(late).cast("bigint").alias("dropped")), allowMissingColumns=True)
 
 
 @query("str_09_rebuild_views", check("products", "SELECT * FROM products"))
 def _(spark, d):
-    # the stored views are thrown away and rebuilt from the start of the topic
-    root = i.written_log(spark, i.feed(spark, d), "str09")
-    kept = jobs.open_store(spark, fresh_dir(spark, "str09-views"))
-    jobs.run_views_batch(kept, topics.read_log(spark, root), 0)
-    return millis(kept.current("orders_by_product"), "last_order_timestamp")
+    # three deliveries; the change log up to the last snapshot is lost, and the views are read from snapshot and later changes
+    root, checkpoint, views_root = (fresh_dir(spark, f"str09-{x}") for x in ("log", "cp", "views"))
+    placed, millis_of = i.messages(i.feed(spark, d)), F.unix_millis("timestamp")
+    lost = 0
+    for number, part in enumerate([millis_of < CUT - 40_000_000_000, (millis_of >= CUT - 40_000_000_000) & (millis_of < CUT), millis_of >= CUT]):
+        kept = jobs.open_store(spark, views_root, snapshot_every=1)  # as after a restart: nothing is known but the folders
+        topics.write_log(placed.filter(part), root, topics.ORDERS, number)
+        jobs.views_job(topics.stream_log(spark, root), kept, checkpoint, once=True).awaitTermination()
+        lost += kept.forget_before_snapshot("orders_by_product")
+    assert lost == 2, "the changes of two batches are covered by a snapshot"
+    return millis(jobs.open_store(spark, views_root).current("orders_by_product"), "last_order_timestamp")
 
 
 @query("str_10_redelivery", check("placed", f"""
-SELECT count(*) FILTER ({GATE}) AS processed_count, count(*) FILTER (NOT {GATE}) AS error_count FROM placed"""))
+SELECT count(*) FILTER ({GATE}) AS processed_count, count(*) FILTER (NOT {GATE}) AS error_count,
+       CAST(sum(quantity) FILTER ({GATE}) AS BIGINT) AS quantity FROM placed"""))
 def _(spark, d):
-    # the same batch delivered twice leaves the state of one delivery
-    root = i.written_log(spark, i.feed(spark, d), "str10")
+    # every message comes again, at a new offset, in a second delivery through the stream
+    root, checkpoint = fresh_dir(spark, "str10-log"), fresh_dir(spark, "str10-cp")
     kept = jobs.open_store(spark, fresh_dir(spark, "str10-views"))
+    placed = i.messages(i.feed(spark, d))
+    ends = placed.groupBy("partition").agg((F.max("offset") + 1).alias("end"))
+    again = placed.join(F.broadcast(ends), "partition").withColumn("offset", F.col("offset") + F.col("end")).drop("end")
+    for number, part in enumerate([placed, again]):
+        topics.write_log(part, root, topics.ORDERS, number)
+        jobs.views_job(topics.stream_log(spark, root), kept, checkpoint, once=True, once_per_message=True).awaitTermination()
+    quantity = kept.current("orders_by_product").agg(F.sum("total_quantity").alias("quantity"))
+    return views.merge_single_rows([kept.current("processing_stats").select("processed_count", "error_count"), quantity])
+
+
+@query("str_10_reset_on_existing_store", check("placed", f"""
+SELECT count(*) FILTER ({GATE}) AS processed_count, count(*) FILTER (NOT {GATE}) AS error_count FROM placed"""))
+def _(spark, d):
+    # a new checkpoint reads the topic from its start again, on a store that has consumed it: nothing counts twice
+    root, kept = i.written_log(spark, i.feed(spark, d), "str10r"), jobs.open_store(spark, fresh_dir(spark, "str10r-views"))
     for _ in range(2):
-        jobs.run_views_batch(kept, topics.read_log(spark, root), 0)
+        jobs.views_job(topics.stream_log(spark, root), kept, fresh_dir(spark, "str10r-cp"), once=True).awaitTermination()
     return kept.current("processing_stats").select("processed_count", "error_count")
 
 
 @query("str_11_replay_from_offset", check("placed", f"""
-SELECT 'offset' AS start, partition, count(*) AS records FROM placed WHERE partition <> 1 OR "offset" >= 1000 GROUP BY partition
-UNION ALL SELECT 'time', partition, count(*) FROM placed WHERE timestamp >= {CUT} GROUP BY partition"""))
+SELECT 'earliest' AS start, partition, count(*) AS records FROM placed GROUP BY partition
+UNION ALL SELECT 'offset', partition, count(*) FROM placed WHERE partition <> 1 OR "offset" >= 1000 GROUP BY partition
+UNION ALL SELECT 'time', partition, count(*) FROM placed WHERE timestamp >= {CUT} GROUP BY partition
+UNION ALL SELECT 'latest', partition, count(*) FROM placed WHERE timestamp >= {CUT} GROUP BY partition"""))
 def _(spark, d):
-    log = in_memory_log(spark, d)
-    counted = [
-        part.groupBy("partition").agg(F.count("*").alias("records")).withColumn("start", F.lit(label))
-        for label, part in (("offset", topics.replay_from(log, {1: 1000})),
-                            ("time", topics.replay_since(log, F.timestamp_millis(F.lit(CUT)))))
-    ]
-    return counted[0].unionByName(counted[1])
+    # streams started with new checkpoints; "latest" is asked for after the first delivery and gets the second
+    root = fresh_dir(spark, "str11")
+    placed = i.messages(i.feed(spark, d))
+    topics.write_log(placed.filter(F.unix_millis("timestamp") < CUT), root, topics.ORDERS, 0)
+    streams = {"latest": topics.stream_from(spark, root, topics.ORDERS, latest=True)}
+    topics.write_log(placed.filter(F.unix_millis("timestamp") >= CUT), root, topics.ORDERS, 1)
+    streams["earliest"] = topics.stream_from(spark, root, topics.ORDERS)
+    streams["offset"] = topics.stream_from(spark, root, topics.ORDERS, offsets={1: 1000})
+    streams["time"] = topics.stream_from(spark, root, topics.ORDERS, since=datetime.fromtimestamp(CUT / 1000))
+    counted = None
+    for label, messages in streams.items():
+        out = fresh_dir(spark, f"str11-{label}")
+        jobs.append_rows(messages.select("partition", "offset"), out, fresh_dir(spark, f"str11-{label}-cp"), once=True).awaitTermination()
+        part = spark.read.schema("partition int, offset bigint").parquet(out).groupBy("partition").agg(F.count("*").alias("records"))
+        part = part.withColumn("start", F.lit(label))
+        counted = part if counted is None else counted.unionByName(part)
+    return counted
+
+
+@query("agg_16_job_outcomes", check("cplaced", f"""
+SELECT job, total, success, total - success AS errors FROM (
+  SELECT unnest(['views', 'validate']) AS job, count(*) AS total, count(*) FILTER ({GATE}) AS success FROM cplaced
+  UNION ALL SELECT 'register', count(*), count(*) FROM cplaced WHERE {GATE} AND {RULES})"""))
+def _(spark, d):
+    # each job writes one row per batch: what it got, what it could use and what it could not
+    root, kept = i.written_log(spark, i.clean(spark, d), "agg16"), jobs.open_store(spark, fresh_dir(spark, "agg16-store"))
+    for run in (lambda cp: jobs.views_job(topics.stream_log(spark, root), kept, cp, once=True),
+                lambda cp: jobs.validate_job(topics.stream_log(spark, root), kept, root, cp, once=True),
+                lambda cp: jobs.register_job(topics.stream_log(spark, root, [topics.REGISTRY]), kept, cp, once=True)):
+        run(fresh_dir(spark, "agg16-cp")).awaitTermination()
+    return jobs.outcomes(kept).groupBy("job").agg(*[F.sum(c).alias(c) for c in ("total", "success", "errors")])

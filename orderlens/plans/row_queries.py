@@ -379,17 +379,13 @@ def _(spark, d):
     return monitor.apply_overrides(decisions(spark, d), i.entries(spark, d))
 
 
-@query("joi_05_incoming_with_existing", check("capproved", f"""
-SELECT order_id, a1, a2, timestamp, status, total, quantity, existing_status, existing_version FROM (
-  SELECT l.*, r.status AS existing_status, r.version AS existing_version
-  FROM (SELECT * FROM capproved WHERE timestamp >= 946684800000) l
-  LEFT JOIN (SELECT order_id, max(CASE WHEN n = 1 THEN 'accepted' WHEN rn = n THEN status END) AS status,
-                    CAST(1 + sum(CASE WHEN rn > 1 AND (prev <> status OR quantity <> q1 OR total <> t1) THEN 1 ELSE 0 END) AS BIGINT) AS version
-             FROM (SELECT *, row_number() OVER k AS rn, first_value(quantity) OVER k AS q1, first_value(total) OVER k AS t1,
-                          count(*) OVER (PARTITION BY order_id) AS n,
-                          CASE row_number() OVER k WHEN 1 THEN NULL WHEN 2 THEN 'accepted' ELSE lag(status) OVER k END AS prev
-                   FROM capproved WHERE timestamp < 946684800000 WINDOW k AS (PARTITION BY order_id ORDER BY {OA}))
-             GROUP BY order_id) r ON l.order_id = r.order_id)"""))
+@query("joi_05_incoming_with_existing", check("csteps", """
+SELECT order_id, a1, a2, timestamp, status, total, quantity,
+       CASE WHEN earlier = 1 THEN 'accepted' WHEN earlier > 1 THEN last_status END AS existing_status, CAST(existing_version AS BIGINT) AS existing_version
+FROM (SELECT *, count(*) FILTER (timestamp < 946684800000) OVER same AS earlier,
+             arg_max(status, rn) FILTER (timestamp < 946684800000) OVER same AS last_status,
+             max(version) FILTER (timestamp < 946684800000) OVER same AS existing_version
+      FROM csteps WINDOW same AS (PARTITION BY order_id)) WHERE timestamp >= 946684800000"""))
 def _(spark, d):
     # the registry after the years before 2000, looked up by the orders that follow
     orders = registry.approved(i.clean(spark, d))

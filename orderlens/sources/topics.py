@@ -2,12 +2,15 @@
 
 A topic log is a folder per topic, below it one Parquet folder per written batch, with the columns of the
 Kafka source (key, value, topic, partition, offset, timestamp). A topic is picked by its path, and the
-files are sorted by partition and offset, so both prune by file statistics.
+files are sorted by partition and offset, so both prune by file statistics. Beside it lies a manifest per
+batch: the offsets and times of each partition. A reader that starts at an offset, a time or the end finds
+there which folders it needs, and the others are never listed or opened.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,6 +20,8 @@ from orderlens.schemas import TOPIC_RECORD
 # fixed values: the topics and their partitions
 ORDERS, REGISTRY = "orders", "registry"
 PARTITIONS = 3
+#: Digits of a batch folder's number.
+DIGITS = 12
 
 
 def kafka_options(servers: str, topics: Sequence[str], starting: str = "earliest",
@@ -94,12 +99,86 @@ def write_log(records: DataFrame, root: str, topic: str, batch: int = 0) -> None
         records.withColumn("topic", F.lit(topic)).select(*names)
         .repartitionByRange("partition", "offset")
         .sortWithinPartitions("partition", "offset")
-        .write.mode("overwrite").parquet(f"{root}/{topic}/batch-{batch:012d}")
+        .write.mode("overwrite").parquet(f"{root}/{topic}/{_folder(batch)}")
     )
+    # of every partition one row
+    read_batch(records.sparkSession, root, topic, batch).groupBy("partition").agg(
+        F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), F.min("timestamp").alias("first_time"),
+        F.max("timestamp").alias("last_time"), F.count("*").alias("messages"), F.lit(batch).cast("bigint").alias("batch"),
+    ).coalesce(1).write.mode("overwrite").parquet(f"{_manifests(root, topic)}/{_folder(batch)}")
+
+
+def _folder(batch: int) -> str:
+    return f"batch-{batch:0{DIGITS}d}"
+
+
+def _manifests(root: str, topic: str) -> str:
+    return f"{root}/manifests/{topic}"
+
+
+def manifest(spark: SparkSession, root: str, topic: str) -> DataFrame:
+    """One row per batch and partition: first and last offset and time, and the number of messages."""
+    kind = "partition int, first_offset bigint, last_offset bigint, first_time timestamp, last_time timestamp, messages bigint, batch bigint"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_manifests(root, topic))
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], kind)
+    return spark.read.schema(kind).option("recursiveFileLookup", "true").parquet(_manifests(root, topic))
+
+
+def folders_from(batch: int) -> str:
+    """A glob of the folder of ``batch`` and all later ones, those to come included."""
+    digits = f"{batch:0{DIGITS}d}"
+    later = [f"{digits[:k]}[{int(d) + 1}-9]{'?' * (DIGITS - k - 1)}" for k, d in enumerate(digits) if d != "9"]
+    return "batch-{" + ",".join([digits, *later]) + "}"
+
+
+def start_of(spark: SparkSession, root: str, topic: str, offsets: dict[int, int] | None = None,
+             since: datetime | None = None, latest: bool = False) -> tuple[int, dict[int, int]]:
+    """The first batch folder that a reader needs, and the offset from which it reads each partition.
+
+    ``offsets`` are per partition (others from their start), ``since`` is a time, ``latest`` the end of what is there.
+    """
+    listed = manifest(spark, root, topic)
+    ends = {r["partition"]: r["end"] for r in listed.groupBy("partition").agg((F.max("last_offset") + 1).alias("end")).collect()}
+    if latest:
+        last = listed.agg(F.max("batch")).first()[0]
+        return (0 if last is None else last + 1), ends
+    if since is not None:
+        needed = listed.filter(F.col("last_time") >= F.lit(since))
+        first = {r["partition"]: r["first"] for r in needed.groupBy("partition").agg(F.min("first_offset").alias("first")).collect()}
+        offsets = {p: first.get(p, end) for p, end in ends.items()}
+    wanted = offsets or {}
+    needed = [r["batch"] for r in listed.select("batch", "partition", "last_offset").collect() if r["last_offset"] >= wanted.get(r["partition"], 0)]
+    last = listed.agg(F.max("batch")).first()[0]
+    return min(needed, default=0 if last is None else last + 1), wanted
+
+
+def stream_from(spark: SparkSession, root: str, topic: str, offsets: dict[int, int] | None = None,
+                since: datetime | None = None, latest: bool = False, max_files: int | None = None) -> DataFrame:
+    """A topic's stream from its start, from offsets, from a time or from the end; use it with a new checkpoint."""
+    batch, wanted = start_of(spark, root, topic, offsets, since, latest)
+    reader = spark.readStream.schema(TOPIC_RECORD)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    messages = as_records(reader.parquet(f"{root}/{topic}/{folders_from(batch)}"))
+    return replay_from(messages, wanted) if since is None else replay_since(replay_from(messages, wanted), F.lit(since))
+
+
+def peek_log(spark: SparkSession, root: str, topic: str, n: int, from_beginning: bool = True) -> DataFrame:
+    """The first or last n messages of a written topic; only folders that can hold them are read."""
+    listed = manifest(spark, root, topic)
+    end = listed.agg(F.max("last_offset")).first()[0]
+    if end is None:
+        return peek(read_log(spark, root, [topic]).limit(0), topic, n, from_beginning)
+    # offsets are dense in a partition, so n messages lie within n offsets of the start, or of the furthest end
+    inside = (F.col("first_offset") < n) if from_beginning else (F.col("last_offset") > end - n)
+    batches = [r["batch"] for r in listed.filter(inside).select("batch").distinct().collect()]
+    read = as_records(spark.read.schema(TOPIC_RECORD).parquet(*[f"{root}/{topic}/{_folder(b)}" for b in sorted(batches)]))
+    return peek(read.filter((F.col("offset") < n) if from_beginning else (F.col("offset") > end - n)), topic, n, from_beginning)
 
 
 def batch_written(spark: SparkSession, root: str, topic: str, batch: int) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{topic}/batch-{batch:012d}/_SUCCESS")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_manifests(root, topic)}/{_folder(batch)}/_SUCCESS")
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
@@ -113,7 +192,7 @@ def read_log(spark: SparkSession, root: str, topics: Sequence[str] = (ORDERS,))
 
 
 def read_batch(spark: SparkSession, root: str, topic: str, batch: int) -> DataFrame:
-    return as_records(spark.read.schema(TOPIC_RECORD).parquet(f"{root}/{topic}/batch-{batch:012d}"))
+    return as_records(spark.read.schema(TOPIC_RECORD).parquet(f"{root}/{topic}/{_folder(batch)}"))
 
 
 def stream_log(spark: SparkSession, root: str, topics: Sequence[str] = (ORDERS,),

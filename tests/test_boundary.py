@@ -211,8 +211,8 @@ def test_views_stream_equals_batch(spark, slices):
     want = views.processing_stats(arrived, "p").first()
     assert (stats["processed_count"], stats["error_count"]) == (want["processed_count"], want["error_count"])
     assert stats["total_revenue_accepted"] == want["total_revenue_accepted"]
-    assert kept.current("rejects").count() == want["error_count"]
-    assert kept.current("batches").agg(F.sum("total")).first()[0] == arrived.count()
+    assert jobs.rejects(kept).count() == want["error_count"]
+    assert jobs.outcomes(kept).agg(F.sum("total")).first()[0] == arrived.count()
 
 
 def test_a_replayed_first_hop_changes_nothing(spark, slices):
@@ -283,7 +283,7 @@ def test_bad_records_do_not_stop_the_stream(spark):
     topics.write_log(records.withColumn("timestamp", F.timestamp_millis("offset")), root, topics.ORDERS)
     kept = jobs.open_store(spark, fresh_dir(spark, "badviews"))
     jobs.views_job(topics.stream_log(spark, root), kept, fresh_dir(spark, "badcp"), once=True).awaitTermination()
-    reasons = {r["offset"]: r["reason"] for r in kept.current("rejects").collect()}
+    reasons = {r["offset"]: r["reason"] for r in jobs.rejects(kept).collect()}
     assert reasons == {1: "undecodable", 2: "customer_id: must be positive"}
     assert kept.current("processing_stats").first()["processed_count"] == 1
 
@@ -304,3 +304,113 @@ def test_streams_cut_hot_keys_too(spark, slices):
         found.append({t: sorted(map(str, kept.current(t).collect())) for t in (
             "orders_by_customer", "registered_orders", "order_updates", "topic_offsets", "validation_stats")})
     assert found[0] == found[1]
+
+
+# --- buckets, runs, seeking ----------------------------------------------------------------------------------------------
+
+
+def scans(df):
+    return [line for line in df._jdf.queryExecution().toString().split("== Physical Plan ==")[1].splitlines() if "FileScan" in line]
+
+
+@pytest.mark.parametrize("grows", [False, True])
+def test_look_ups_open_one_bucket(spark, grows):
+    spec = TableSpec("t", TABLES["statistics"].schema, ("metric",), grows, "metric")
+    kept = ViewStore(spark, fresh_dir(spark, "buckets"), 3, {"t": spec}, buckets=4)
+    for batch in range(11):
+        kept.write("t", batch, spark.createDataFrame([(f"k{k}", batch) for k in range(batch, batch + 5)], spec.schema))
+    want = {f"k{k}": min(k, 10) for k in range(15)}
+    assert {r["metric"]: r["value"] for r in kept.current("t").collect()} == want
+    assert {r["metric"]: r["value"] for r in kept.before("t", 6).collect()} == {f"k{k}": min(k, 5) for k in range(10)}
+    for key in ("k0", "k7", "k14", "gone"):
+        found = kept.lookup("t", key)
+        assert [r["value"] for r in found.collect()] == ([want[key]] if key in want else [])
+        assert all("PartitionFilters: [isnotnull(bucket" in line and f"EqualTo(metric,{key})" in line for line in scans(found))
+    asked = spark.createDataFrame([("k3",), ("k9",), ("gone",)], "metric string")
+    assert {r["metric"]: r["value"] for r in kept.lookup_many("t", asked).collect()} == {"k3": 3, "k9": 9}
+    assert all("PartitionFilters: [bucket" in line for line in scans(kept.touched("t", 9, asked)))
+
+
+def test_growing_tables_become_runs(spark):
+    spec = TableSpec("t", TABLES["statistics"].schema, ("metric",), True, "metric")
+    kept = ViewStore(spark, fresh_dir(spark, "runs"), 2, {"t": spec}, buckets=2)
+    for batch in range(8):
+        if batch != 5:      # a batch that wrote nothing
+            kept.write("t", batch, spark.createDataFrame([(f"k{batch}", batch)], spec.schema))
+    assert sorted(kept._complete_names(kept._runs("t"))) == ["0-1", "0-3", "0-7", "2-3", "6-7"] or \
+        sorted(kept._complete_names(kept._runs("t"))) == ["0-1", "0-3", "0-7", "2-3", "4-7", "6-7"]
+    assert kept.current("t").count() == 7 and kept.before("t", 6).count() == 5 and kept.before("t", 3).count() == 3
+
+
+def test_changes_before_a_snapshot_can_be_forgotten(spark):
+    spec = TableSpec("t", TABLES["statistics"].schema, ("metric",))
+    kept = ViewStore(spark, fresh_dir(spark, "forget"), 2, {"t": spec})
+    assert kept.forget_before_snapshot("t") == 0
+    for batch in range(4):
+        kept.write("t", batch, spark.createDataFrame([("a", batch), (f"k{batch}", 1)], spec.schema))
+    before = sorted(map(str, kept.current("t").collect()))
+    assert kept.forget_before_snapshot("t") == 3 and kept._complete(kept._changes("t"), "batch_id=") == [3]
+    again = ViewStore(spark, kept.root, 2, {"t": spec})
+    assert sorted(map(str, again.current("t").collect())) == before
+
+
+@pytest.mark.parametrize("batch", [0, 1, 9, 10, 123, 999, 999_999_999_999])
+def test_folders_from_a_batch_on(batch):
+    from fnmatch import fnmatchcase
+
+    names = topics.folders_from(batch).removeprefix("batch-{").removesuffix("}").split(",")
+    for other in (0, 1, 5, 9, 10, 11, 99, 100, 122, 123, 124, 200, 999, 1000, 10**11, 999_999_999_999):
+        assert any(fnmatchcase(f"{other:012d}", n) for n in names) == (other >= batch)
+
+
+def test_streams_start_where_they_are_told(spark, slices):
+    root = fresh_dir(spark, "seek")
+    for number, part in enumerate(slices[:3]):
+        topics.write_log(part, root, topics.ORDERS, number)
+    log = topics.read_log(spark, root)
+    ends = {r["partition"]: r["end_offset"] for r in topics.end_offsets(log).collect()}
+    assert {r["batch"] for r in topics.manifest(spark, root, topics.ORDERS).collect()} == {0, 1, 2}
+    assert topics.start_of(spark, root, topics.ORDERS) == (0, {})
+    assert topics.start_of(spark, root, topics.ORDERS, latest=True) == (3, ends)
+    nearly = {p: end - 1 for p, end in ends.items()}
+    batch, wanted = topics.start_of(spark, root, topics.ORDERS, offsets=nearly)
+    assert batch == 2 and wanted == nearly
+
+    def read(messages):
+        out = fresh_dir(spark, "seek-out")
+        query = jobs.append_rows(messages.select("partition", "offset"), out, fresh_dir(spark, "seek-cp"), once=True)
+        query.awaitTermination()
+        return spark.read.schema("partition int, offset bigint").parquet(out).count(), sum(p["numInputRows"] for p in query.recentProgress)
+
+    assert read(topics.stream_from(spark, root, topics.ORDERS))[0] == log.count()
+    rows, opened = read(topics.stream_from(spark, root, topics.ORDERS, offsets=nearly))
+    assert rows == len(ends) and opened <= slices[2].count()      # the first two folders are not opened
+    late = log.agg(F.max("timestamp")).first()[0]
+    assert read(topics.stream_from(spark, root, topics.ORDERS, since=late))[0] == log.filter(F.col("timestamp") >= F.lit(late)).count()
+    assert read(topics.stream_from(spark, root, topics.ORDERS, latest=True))[0] == 0
+    first = topics.peek_log(spark, root, topics.ORDERS, 5)
+    assert same(first, topics.peek(log, topics.ORDERS, 5)) and all("batch-000000000000" in f for f in first.inputFiles())
+    assert same(topics.peek_log(spark, root, topics.ORDERS, 5, from_beginning=False), topics.peek(log, topics.ORDERS, 5, from_beginning=False))
+
+
+def test_messages_count_once_at_any_offset(spark, slices):
+    kept = jobs.open_store(spark, fresh_dir(spark, "once"))
+    twice = slices[0].unionByName(slices[0].withColumn("offset", F.col("offset") + 10_000))
+    jobs.run_views_batch(kept, twice, 0, ring_size=5, once_per_message=True)
+    jobs.run_views_batch(kept, slices[0].withColumn("offset", F.col("offset") + 50_000), 1, ring_size=5, once_per_message=True)
+    stats = kept.current("processing_stats").first()
+    assert stats["processed_count"] + stats["error_count"] == slices[0].count()
+
+
+def test_dead_letters_of_all_jobs(spark, slices):
+    root, kept = fresh_dir(spark, "dead"), jobs.open_store(spark, fresh_dir(spark, "deadstore"))
+    rows = [("a", "bad-json", "orders", 0, 0), ("b", GOOD, "orders", 0, 1), ("c", GOOD, "registry", 0, 0), ("d", "nonsense", "registry", 0, 1),
+            ("e", GOOD, "surprise", 0, 0), ("f", GOOD, None, 0, 1)]
+    messages = spark.createDataFrame(rows, "key string, value string, topic string, partition int, offset long").withColumn(
+        "timestamp", F.timestamp_millis("offset"))
+    jobs.run_consumer_batch(kept, messages, 0, root)
+    reasons = sorted((str(r["topic"]), r["offset"], r["reason"]) for r in jobs.rejects(kept).collect())
+    assert reasons == [("None", 1, "Unknown topic"), ("orders", 0, "undecodable"), ("registry", 0, "no approved order"),
+                       ("registry", 1, "undecodable"), ("surprise", 0, "Unknown topic")]
+    counted = {r["job"]: (r["total"], r["success"], r["errors"]) for r in jobs.outcomes(kept).collect()}
+    assert counted == {"validate": (2, 1, 1), "register": (2, 0, 2), "consumer": (6, 4, 2)}
