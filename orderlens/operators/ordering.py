@@ -59,14 +59,17 @@ class Arranged:
         """One row per segment and border key, in one partition: at most two for each segment."""
         return self.rows.filter(BORDER).groupBy(SEGMENT, self.key).agg(*summary).repartition(1)
 
-    def with_neighbours(self, columns: Sequence[str]) -> Arranged:
-        """Adds rn (position from 1), and structs prev and head: the previous and the first row of the key."""
-        packed, whole = F.struct(*columns), F.struct(*self.rows.columns)
+    def with_neighbours(self, columns: Sequence[str], first: Sequence[str] = ()) -> Arranged:
+        """Adds rn (position from 1), and structs prev and head: the previous row of the key, and the columns ``first`` of its first row.
+
+        Every row carries both structs, so ask for what is needed of them only.
+        """
+        packed, opening, whole = F.struct(*columns), F.struct(*(first or columns)), F.struct(*self.rows.columns)
         w = self.window
         local = self.rows.withColumns({
             "rn": F.row_number().over(w).cast("bigint"),
             "prev": F.lag(packed).over(w),
-            "head": F.first(packed).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+            "head": F.first(opening).over(w.rowsBetween(Window.unboundedPreceding, 0)),
         })
         # whole rows, so that this reads the same columns, and with them the same exchange, as what comes of the rows
         summary = self._of_border_keys(
@@ -75,15 +78,15 @@ class Arranged:
             F.max_by(whole, self.order_struct).alias("last_row"),
         )
 
-        def part(row: str) -> Column:
-            return F.when(F.col(row).isNotNull(), F.struct(*[F.col(row)[c].alias(c) for c in columns]))
+        def part(row: str, names: Sequence[str]) -> Column:
+            return F.when(F.col(row).isNotNull(), F.struct(*[F.col(row)[c].alias(c) for c in names]))
 
         across = Window.partitionBy(self.key).orderBy(SEGMENT)
         before = across.rowsBetween(Window.unboundedPreceding, -1)
         carry = summary.select(
             self.key, SEGMENT,
-            F.lag(part("last_row")).over(across).alias("carry_prev"),
-            F.first(part("first_row")).over(across.rowsBetween(Window.unboundedPreceding, 0)).alias("carry_head"),
+            F.lag(part("last_row", columns)).over(across).alias("carry_prev"),
+            F.first(part("first_row", first or columns)).over(across.rowsBetween(Window.unboundedPreceding, 0)).alias("carry_head"),
             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("carry_rows"),
         )
         joined = self._carried(local, carry).withColumns({
@@ -136,7 +139,7 @@ def arrange(df: DataFrame, key: str, order: Sequence[str], segments: int | None
     )
     rows = placed.repartition(segments, SEGMENT) if segments else placed.repartition(SEGMENT)
     # not deterministic, so that filters on it stay above the exchange, and all that is made of the rows reads one exchange
-    rows = rows.withColumn(BORDER, F.col(BORDER) & (F.rand(0) >= 0))
+    rows = rows.withColumn(BORDER, F.col(BORDER) & (F.monotonically_increasing_id() >= 0))
     return Arranged(rows, key, list(order))
 
 

@@ -73,7 +73,7 @@ def registry_steps(orders: DataFrame, arrival: Sequence[str], existing: DataFram
         )
         rows = rows.unionByName(stored, allowMissingColumns=True)
     placed = arrange(rows, "order_id", order, segments)
-    placed = placed.with_neighbours([*_CARRIED, "stored_version", "stored_updated_at"])
+    placed = placed.with_neighbours(["status"], ["quantity", "total", "stored_version"])
     from_store = F.col("head.stored_version").isNotNull()
     stored_status = F.when((F.col("rn") == 2) & ~from_store, F.lit(ACCEPTED)).otherwise(F.col("prev.status"))
     changed = (F.col("rn") > 1) & ~(
@@ -94,7 +94,7 @@ def registered_orders(steps: Arranged) -> DataFrame:
     """One row per order id: first arrival's quantity, price and total; last status and version."""
     last = F.max_by(F.struct("status", "rn"), steps.order_struct)
     grouped = steps.rows.groupBy("order_id").agg(
-        F.first("head").alias("head"),
+        F.min_by(F.struct(*_CARRIED, "stored_version", "stored_updated_at"), steps.order_struct).alias("head"),
         last.alias("last"),
         F.max("version").alias("version"),
         F.max_by("timestamp", F.when(F.col("changed"), steps.order_struct)).alias("changed_at"),
