@@ -27,12 +27,6 @@ def test_stages_keep_columns_and_shrink(stages):
     assert counts == sorted(counts, reverse=True) and counts[3] == counts[4] and 0 < counts[4] < counts[0]
 
 
-def test_near_duplicates_stage_keeps_the_smallest(stages):
-    rows = [(r["doc_id"], r["text"]) for r in stages[1].collect()]
-    want = {i for i, (_, component) in brute.near_duplicates(rows).items() if i == component}
-    assert {r["doc_id"] for r in stages[2].collect()} == want
-
-
 def test_near_duplicates_stage_links_from_eighty_percent(spark, stages):
     rows = [(r["doc_id"], r["text"]) for r in stages[1].collect()]
     want = {i for i, (_, component) in brute.near_duplicates(rows, 80).items() if i == component}
