@@ -26,10 +26,13 @@ from pyspark.sql import functions as F
 from .common import Workspace, held_out, text_batches
 
 DECAY, SPAN = 0.7, 5
-LANDMARKS = 192
+LANDMARKS = 384
 #: Labelled documents of either kind that are learned from, about (all, where there are fewer), chosen by hash of doc_id.
 SAMPLE = {1: 3000, 0: 9000}
 ROUNDS = 3
+#: Of the sample's units: the most marked ones that the machine starts from, those a single witness may be taken from, and the
+#: commonest clean ones.
+MARKED, USUAL, COMMON = 200, 1000, 2000
 THRESHOLD = 0.3
 #: Longer words are cut into overlapping parts of this length.
 LONGEST = 22
@@ -301,9 +304,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = No
     counts = space.store(_unit_counts(rows))
     # deviations by which a unit is commoner in toxic documents than the clean ones let expect
     z = (F.col("toxic") - F.col("clean") * ratio) / F.sqrt(F.col("toxic") + F.col("clean") * ratio ** 2 + 1)
-    best = counts.withColumn("z", z).where("z > 2.5 AND toxic > 3").orderBy(F.desc("z"), "unit").limit(1000).collect()
-    common = counts.orderBy(F.desc("clean"), "unit").limit(2000).collect()
-    positives = {r["unit"]: float(r["toxic"]) for r in best[:200]}
+    best = counts.withColumn("z", z).where("z > 2.5 AND toxic > 3").orderBy(F.desc("z"), "unit").limit(USUAL).collect()
+    common = counts.orderBy(F.desc("clean"), "unit").limit(COMMON).collect()
+    positives = {r["unit"]: float(r["toxic"]) for r in best[:MARKED]}
     negatives = {r["unit"]: float(r["clean"]) for r in common if r["unit"] not in positives and r["clean"]}
     usual = {r["unit"] for r in best}
     model = fit_machine(positives or {"a": 1.0}, negatives or {"a": 1.0})
