@@ -2,24 +2,26 @@
 
 Which suffixes are indexed: of each string of `length` bytes, the one that starts at the smallest hash of SEED bytes in it.
 Equal strings choose the same suffix, so a repeat always shares an indexed one, and only about one position in 180 is kept.
-A suffix array here is a table of such suffixes in the order of the hash of their first SEED bytes, then of the hash of the
-stretch of text whose strings chose it. New batches are sorted into such arrays, joined on the hash with every level for
-suffixes that occur there too (the order is not used for that), and levels of equal size are merged, so a family over n batches has at most log2(n) levels.
-
-What repeats, exactly: suffixes that are found twice are put into classes of equal stretches. A class of two or more repeats
-as a whole. A stretch that is alone, though its suffix is not (at the ends of a copied passage), is compared string by
-string with one member of each other class of its suffix. Groups of up to GROUP_CLASSES classes are compared in one task;
-for larger ones every string becomes a row that Spark deals out, with the same outcome. Equality is that of 64-bit hashes
-within one suffix's 64-bit hash.
+A suffix array here is a table of such suffixes in the order of their first SEED bytes, then of the stretch of text whose
+strings chose it. New batches are sorted into such arrays; a level of the same size is merged with it, and the merged array
+goes on to the next size, so a family over n batches has at most log2(n) levels. A scan of the merged levels looks at each
+row's two neighbours only. Rows are dealt out in ranges of the whole order, so a suffix of very many texts is spread.
+
+What repeats, exactly: neighbours of one stretch (by a 64-bit hash of it, with suffix and place) repeat as a whole. A stretch that
+is alone, though its suffix is not, is one at the ends of a copied passage: its bytes are read, and it is put in order twice, by what follows
+the suffix and by what precedes it. The next few neighbours in either order give intervals of strings that repeat, by
+their common bytes; the nearest ones also bound how far any other suffix can agree. Strings within those bounds and in no
+interval (texts that follow one family ahead and another one behind) are looked for among all strings of their suffix.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,16 +30,19 @@ from .common import RangeHash, Workspace, mixed, text_batches
 LENGTH = 400
 SEED = 32
 BATCHES = 4
-GROUP_CLASSES = 2048
+#: Neighbours on either side that a stretch is compared with.
+NEAR = 4
 #: Starts of strings that are looked at together in a long text.
 SEGMENT = 1 << 20
 
 _HASHES = RangeHash()
-SUFFIX = "suffix long, stretch long, before int, after int, content binary, position long"
+ROW = "head binary, stretch long, before int, after int, content binary, position long"
+ORDER = ["head", "stretch", "before", "after", "content", "position"]
+PLACE = ["content", "position", "before", "after", "whole"]
 
 
 def _suffixes(data: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, ...]:
-    """suffix, stretch, before, after, position of the suffixes chosen by the strings that start in data."""
+    """head, stretch, before, after, position of the suffixes chosen by the strings that start in data."""
     width = length - seed + 1
     sums = _HASHES.prefix(data)
     n = len(data) - seed + 1
@@ -54,11 +59,12 @@ def _suffixes(data: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, ...
     last = np.append(first[1:], len(chosen)) - 1
     position = chosen[first]
     stretch = _HASHES.ranges(sums, first, last + length)
-    return hashes[position].view(np.int64), stretch.view(np.int64), position - first, position - last, position
+    heads = np.lib.stride_tricks.sliding_window_view(data, seed)[position]
+    return heads, stretch.view(np.int64), position - first, position - last, position
 
 
 def suffixes(texts: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """The indexed suffixes of texts(content, text): SUFFIX, with position as a byte offset into the text."""
+    """The indexed suffixes of texts(content, text): ROW, with position as a byte offset into the text."""
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in text_batches(batches):
             parts, owners = [], []
@@ -69,13 +75,14 @@ def suffixes(texts: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFr
                     parts.append((*part[:4], part[4] + at))
                     owners += [content] * len(part[0])
             if parts:
-                columns = [np.concatenate(c) for c in zip(*parts)]
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-                arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(owners, pa.binary()), pa.array(columns[4], pa.int64())],
-                                                 names=["suffix", "stretch", "before", "after", "content", "position"])
+                heads, *columns = [np.concatenate(c) for c in zip(*parts)]
+                offsets = np.arange(0, (len(heads) + 1) * seed, seed, dtype=np.int32)
+                head = pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(heads))])
+                arrays = [pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int32(), pa.int32()])]
+                yield pa.RecordBatch.from_arrays([head, *arrays, pa.array(owners, pa.binary()), pa.array(columns[3], pa.int64())],
+                                                 names=ORDER)
 
-    return texts.select("content", "text").mapInArrow(index, SUFFIX)
+    return texts.select("content", "text").mapInArrow(index, ROW)
 
 
 class IndexFamily:
@@ -84,40 +91,73 @@ class IndexFamily:
     def __init__(self, space: Workspace):
         self.space = space
         self.levels: dict[int, DataFrame] = {}
-        self.matches: list[DataFrame] = []
 
     def insert(self, batch: DataFrame) -> None:
-        """Add the suffixes of a batch, and record which ones occur twice in it or in a level too."""
-        array = self._sorted(batch)
-        own = array.groupBy("suffix").agg(F.count("*").alias("n"))
-        found = own.where("n > 1").select("suffix")
-        for level in self.levels.values():
-            found = found.union(own.select("suffix").join(level.select("suffix").distinct(), "suffix", "left_semi"))
-        self.matches.append(self.space.store(found.distinct()))
-        size = 0
+        """Sort a batch into an array and merge it with the levels of its size."""
+        array, size = self._sorted(batch), 0
         while size in self.levels:
-            other = self.levels.pop(size)
-            merged = self._sorted(other.union(array))
-            self.space.drop(other, array)
-            array, size = merged, size + 1
+            array, size = self._merged(self.levels.pop(size), array), size + 1
         self.levels[size] = array
 
     def matching(self) -> DataFrame:
-        """All rows whose suffix occurs at least twice."""
-        keys = self.matches[0]
-        for more in self.matches[1:]:
-            keys = keys.union(more)
-        rows = None
-        for level in self.levels.values():
-            rows = level if rows is None else rows.union(level)
-        return rows.join(keys.distinct(), "suffix", "left_semi")
+        """content, position, before, after, whole, open: the rows that repeat as a whole, and those to be compared.
+
+        Levels of different size are merged first, as every suffix has to meet those of all batches.
+        """
+        while len(self.levels) > 1:
+            low, next_one = sorted(self.levels)[:2]
+            self.levels[next_one] = self._merged(self.levels.pop(low), self.levels[next_one])
+        (level,) = self.levels.values()
+        return level.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER).mapInArrow(
+            _neighbours, "content binary, position long, before int, after int, whole boolean, open boolean")
+
+    def _merged(self, one: DataFrame, other: DataFrame) -> DataFrame:
+        merged = self._sorted(one.union(other))
+        self.space.drop(one, other)
+        return merged
 
     def _sorted(self, rows: DataFrame) -> DataFrame:
-        order = ["suffix", "stretch", "content", "position"]     # a suffix of very many texts is cut by their order
-        return self.space.store(rows.repartitionByRange(*order).sortWithinPartitions(*order))
+        return self.space.store(rows.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER))
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, seed: int = SEED, batches: int = BATCHES, group_classes: int = GROUP_CLASSES,
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a sorted part that share their stretch (whole) or only their suffix (open) with a neighbour.
+
+    The first and the last row, whose neighbours are in other parts, are open.
+    """
+    previous, held = None, None
+    for batch in batches:
+        if batch.num_rows:
+            if held is not None:
+                yield _marked(previous, held, batch.slice(0, 1))
+                previous = held.slice(held.num_rows - 1)
+            held = batch
+    if held is not None:
+        yield _marked(previous, held, None)
+
+
+def _marked(previous: pa.RecordBatch | None, held: pa.RecordBatch, following: pa.RecordBatch | None) -> pa.RecordBatch:
+    table = pa.Table.from_batches([b for b in (previous, held, following) if b is not None]).combine_chunks()
+
+    def equal(name: str) -> np.ndarray:
+        column = table.column(name).combine_chunks()
+        return np.asarray(pc.equal(column.slice(0, len(column) - 1), column.slice(1)))
+
+    head = equal("head")
+    same = head & equal("stretch") & equal("before") & equal("after")
+    differ = head & ~same
+    if previous is None:
+        head, same, differ = (np.concatenate(([x], y)) for x, y in ((False, head), (False, same), (True, differ)))
+    if following is None:
+        head, same, differ = (np.concatenate((y, [x])) for x, y in ((False, head), (False, same), (True, differ)))
+    whole, open_ones = same[:-1] | same[1:], differ[:-1] | differ[1:]
+    columns = [held.column(c) for c in ("content", "position", "before", "after")]
+    out = pa.RecordBatch.from_arrays([*columns, pa.array(whole), pa.array(open_ones)],
+                                     names=["content", "position", "before", "after", "whole", "open"])
+    return out.filter(pa.array(whole | open_ones))
+
+
+def repeated_spans(texts: DataFrame, length: int = LENGTH, seed: int = SEED, batches: int = BATCHES, near: int = NEAR,
                    space: Workspace | None = None) -> DataFrame:
     """content, spans array<struct<start, end>> of texts(id, content, text): unsorted spans of repeated strings, by byte.
 
@@ -130,27 +170,41 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, seed: int = SEED, bat
         family.insert(found.where(F.pmod(F.xxhash64("content"), F.lit(batches)) == number))
     space.drop(found)
     rows = space.store(family.matching())
-    space.drop(*family.levels.values(), *family.matches)
-
-    same = ["suffix", "before", "after", "stretch"]
-    classes = space.store(rows.groupBy(*same).agg(F.count("*").alias("n"), F.min(F.struct("content", "position")).alias("one")))
-    whole = rows.join(classes.where("n > 1").select(*same), same, "left_semi").select(
-        "content", (F.col("position") - F.col("before")).alias("start"), (F.col("position") - F.col("after") + length).alias("end"))
-    crowds = classes.groupBy("suffix").agg(F.count("*").alias("classes")).where("classes > 1")
-    open_ones = classes.join(crowds, "suffix").select("suffix", "before", "after", "n", "classes", "one.content", "one.position")
-    stretches = space.store(_stretches(texts, open_ones, length))
-    few = stretches.where(F.col("classes") <= group_classes).repartition("suffix").sortWithinPartitions("suffix").mapInArrow(
-        _compared(length), "content binary, start long, end long")
-    many = stretches.where(F.col("classes") > group_classes).mapInArrow(_strings(length), "string long, member long, content binary, start long, alone boolean")
-    twice = many.groupBy("string").agg(F.min("member").alias("low"), F.max("member").alias("high")).where("low < high").select("string")
-    some = many.where("alone").join(twice, "string", "left_semi").select("content", "start", (F.col("start") + length).alias("end"))
-    spans = whole.union(few).union(some).distinct()
-    return space.store(spans.groupBy("content").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+    space.drop(*family.levels.values())
+
+    whole = rows.where("whole").select("content", (F.col("position") - F.col("before")).alias("start"),
+                                       (F.col("position") - F.col("after") + length).alias("end"))
+    open_ones = space.store(_stretches(texts, rows.where("open").select(*PLACE).distinct(), length))
+    start = F.substring("fore", 1, seed)
+    scans = []
+    for order in (["fore", "back", "content", "position"], [start, "back", "fore", "content", "position"]):
+        compare = _compared(length, seed, near)
+        scan = space.store(open_ones.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compare, COMPARED))
+        # first and last rows of all parts, two a part, meet their neighbours here
+        edges = scan.where("edge").select(*PLACE, "fore", "back").repartition(1).sortWithinPartitions(*order).mapInArrow(compare, COMPARED)
+        scans += [scan, edges]
+    everything = scans[0].union(scans[1]).union(scans[2]).union(scans[3]).where("NOT whole")
+    judged = space.store(everything.groupBy(*PLACE).agg(
+        F.max("ahead").alias("ahead"), F.max("behind").alias("behind"),
+        F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")).mapInArrow(_judged(length), JUDGED))
+    some = judged.select("content", "position", F.explode("spans").alias("span")).select(
+        "content", (F.col("position") - F.col("span.high")).alias("start"), (F.col("position") - F.col("span.low") + length).alias("end"))
+    spans = whole.union(some)
+    wanted = space.store(judged.where(F.size("rest") > 0).join(open_ones.withColumn("head", start), PLACE).select(
+        "head", F.explode("rest").alias("distance")).distinct())
+    if not wanted.isEmpty():
+        asked = wanted.groupBy("head").agg(F.collect_list("distance").alias("distances"))
+        strings = space.store(open_ones.withColumn("head", start).join(asked, "head").mapInArrow(
+            _strings(length), "string binary, content binary, start long, whole boolean"))
+        twice = strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
+        spans = spans.union(strings.where("NOT whole").join(twice, "string", "left_semi").select(
+            "content", "start", (F.col("start") + length).alias("end")))
+    return space.store(spans.distinct().groupBy("content").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
 
 
 def _stretches(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """wanted with the bytes of each stretch, read from one text of each content."""
-    requests = wanted.groupBy("content").agg(F.collect_list(F.struct("suffix", "position", "before", "after", "n", "classes")).alias("wanted"))
+    """wanted with the bytes of each stretch from the suffix on and, backwards, before it; read from one text of each content."""
+    requests = wanted.groupBy("content").agg(F.collect_list(F.struct("position", "before", "after", "whole")).alias("wanted"))
     named = texts.select("content", "text", F.coalesce(F.col("id").cast("string"), F.lit("")).alias("name"))
     one = named.groupBy("content").agg(F.min("name").alias("name"))
     chosen = named.join(one.join(requests, "content"), ["content", "name"]).select("content", "text", "wanted")
@@ -160,75 +214,139 @@ def _stretches(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             out = []
             for content, text, asked in zip(batch.column("content").to_pylist(), found, batch.column("wanted").to_pylist()):
                 for x in asked:
-                    out.append((x["suffix"], content, x["position"], x["before"], x["after"], x["n"], x["classes"],
-                                text[x["position"] - x["before"]:x["position"] - x["after"] + length]))
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-            names = ["suffix", "content", "position", "before", "after", "n", "classes", "bytes"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 8, kinds)], names=names)
+                    at, before, after = x["position"], x["before"], x["after"]
+                    out.append((content, at, before, after, x["whole"], text[at:at - after + length], text[at - before:at][::-1]))
+            kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 7, kinds)], names=STRETCH)
+
+    schema = "content binary, position long, before int, after int, whole boolean, fore binary, back binary"
+    return chosen.mapInArrow(cut, schema).dropDuplicates(PLACE)     # repeated rows of the table bring a stretch twice
+
+
+STRETCH = [*PLACE, "fore", "back"]
+COMPARED = ("content binary, position long, before int, after int, whole boolean, ahead int, behind int, spans array<long>, "
+            "edge boolean, fore binary, back binary")
+JUDGED = "content binary, position long, spans array<struct<low: int, high: int>>, rest array<int>, before int, after int, whole boolean"
+
 
-    return chosen.mapInArrow(cut, "suffix long, content binary, position long, before int, after int, n long, classes long, bytes binary")
+def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings as rows of a matrix, filled up with zeros, and their lengths."""
+    sizes = np.asarray(pc.binary_length(column), dtype=np.int64)
+    out = np.zeros((len(sizes), int(sizes.max(initial=0)) + 1), dtype=np.uint8)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8)
+    return out, sizes
 
 
-def _hashed(before: int, after: int, data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each string of a stretch: how far before the suffix it starts, and a hash of it and of that."""
-    sums = _HASHES.prefix(np.frombuffer(data, dtype=np.uint8))
-    starts = np.arange(before - after + 1)
-    distance = before - starts
-    return distance, mixed(_HASHES.ranges(sums, starts, starts + length) + distance.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+def _common(strings: tuple[np.ndarray, np.ndarray], step: int) -> np.ndarray:
+    """How many bytes each string has in common at its start with the one `step` rows on."""
+    matrix, sizes = strings
+    unequal = matrix[:-step] != matrix[step:]
+    first = np.where(unequal.any(axis=1), unequal.argmax(axis=1), matrix.shape[1])
+    return np.minimum(first, np.minimum(sizes[:-step], sizes[step:]))
 
 
-def _compared(length: int):
+def _compared(length: int, seed: int, near: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sorted stretches compared with their next neighbours: longest agreement ahead and behind, and strings found again.
+
+    Strings are named by how far before the suffix they start, spans as low * 2**32 + high. A stretch may come out in several
+    rows. The first and last ones of a part come out once more with their bytes (edge).
+    """
+    def partial(rows: pa.RecordBatch) -> pa.RecordBatch:
+        fore, back = _matrix(rows.column("fore")), _matrix(rows.column("back"))
+        before, after = (rows.column(c).to_numpy() for c in ("before", "after"))
+        n = rows.num_rows
+        ahead, behind = np.zeros(n, dtype=np.int32), np.full(n, -1, dtype=np.int32)
+        spans = np.full((n, 2 * near), -1, dtype=np.int64)
+        for step in range(1, min(near, n - 1) + 1):
+            lead, trail = _common(fore, step), _common(back, step)
+            one = lead >= seed      # the same suffix
+            for at, rows_of in ((2 * step - 2, slice(None, -step)), (2 * step - 1, slice(step, None))):
+                low, high = np.maximum(after[rows_of], length - lead), np.minimum(before[rows_of], trail)
+                spans[rows_of, at] = np.where(one & (low <= high), (low.astype(np.int64) << 32) + high, -1)
+                ahead[rows_of] = np.maximum(ahead[rows_of], np.where(one, lead, 0))
+                behind[rows_of] = np.maximum(behind[rows_of], np.where(one, trail, -1))
+        spans.sort(axis=1)
+        keep = spans >= 0
+        keep[:, 1:] &= spans[:, 1:] != spans[:, :-1]
+        offsets = np.concatenate(([0], np.cumsum(keep.sum(axis=1)))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(spans[keep]))
+        return _rows(rows, pa.array(ahead), pa.array(behind), lists, False)
+
+    def _rows(rows: pa.RecordBatch, ahead: pa.Array, behind: pa.Array, spans: pa.Array, edge: bool) -> pa.RecordBatch:
+        n = rows.num_rows
+        bytes_of = [rows.column(c) if edge else pa.nulls(n, pa.binary()) for c in ("fore", "back")]
+        return pa.RecordBatch.from_arrays(
+            [*(rows.column(c) for c in PLACE), ahead, behind, spans, pa.array([edge] * n, pa.bool_()), *bytes_of],
+            names=[*PLACE, "ahead", "behind", "spans", "edge", "fore", "back"])
+
+    def at_edge(row: pa.RecordBatch) -> pa.RecordBatch:
+        return _rows(row, pa.array([0], pa.int32()), pa.array([-1], pa.int32()), pa.array([[]], pa.list_(pa.int64())), True)
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, suffix = [], None
+        carried = None
         for batch in batches:
-            names = ("suffix", "content", "position", "before", "after", "n", "bytes")
-            for row in zip(*(batch.column(c).to_pylist() for c in names)):
-                if row[0] != suffix and held:
-                    yield from _spans_of_group(held, length)
-                    held = []
-                suffix = row[0]
-                held.append(row[1:])
-        if held:
-            yield from _spans_of_group(held, length)
+            if not batch.num_rows:
+                continue
+            batch = batch.select(STRETCH)
+            if carried is None:
+                yield at_edge(batch.slice(0, 1))
+                rows = batch
+            else:
+                rows = pa.Table.from_batches([carried, batch]).combine_chunks().to_batches()[0]
+            yield partial(rows)
+            carried = rows.slice(max(0, rows.num_rows - near))
+        if carried is not None:
+            yield at_edge(carried.slice(carried.num_rows - 1))
 
     return compare
 
 
-def _spans_of_group(rows: list[tuple], length: int) -> Iterator[pa.RecordBatch]:
-    rows = list({r[:4]: r for r in rows}.values())    # repeated rows of the table bring a stretch twice
-    hashed = [_hashed(before, after, data, length) for _, _, before, after, _, data in rows]
-    values, counts = np.unique(np.concatenate([h for _, h in hashed]), return_counts=True)
-    shared = values[counts > 1]
-    out = []
-    for (content, position, _, _, n, _), (distance, hashes) in zip(rows, hashed):
-        if n > 1:
-            continue
-        hit = position - distance[np.isin(hashes, shared)]
-        if len(hit):
-            for run in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1):
-                out.append((content, int(run[0]), int(run[-1]) + length))
-    if out:
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.binary(), pa.int64(), pa.int64()))], names=["content", "start", "end"])
-
-
-def _strings(length: int):
+def _judged(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The union of each stretch's spans, and the strings within its bounds that are in none."""
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = ("before", "after", "ahead", "behind", "spans")
+            spans, rest = [], []
+            for before, after, ahead, behind, packed in zip(*(batch.column(c).to_pylist() for c in names)):
+                at, end = max(after, length - ahead), min(before, behind)
+                merged, left = [], []
+                for low, high in sorted((x >> 32, x & 0xFFFFFFFF) for x in packed):
+                    left += range(at, min(low, end + 1))
+                    at = max(at, high + 1)
+                    if merged and low <= merged[-1]["high"] + 1:
+                        merged[-1]["high"] = max(merged[-1]["high"], high)
+                    else:
+                        merged.append({"low": low, "high": high})
+                spans.append(merged)
+                rest.append(left + list(range(at, end + 1)))
+            kinds = [pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())])), pa.list_(pa.int32())]
+            columns = [batch.column("content"), batch.column("position"), *(pa.array(c, k) for c, k in zip((spans, rest), kinds)),
+                       *(batch.column(c) for c in ("before", "after", "whole"))]
+            yield pa.RecordBatch.from_arrays(columns, names=["content", "position", "spans", "rest", "before", "after", "whole"])
+
+    return judge
+
+
+def _strings(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The strings of each stretch that start at one of the asked distances before the suffix."""
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = ("suffix", "content", "position", "before", "after", "n", "bytes")
-            for suffix, content, position, before, after, n, data in zip(*(batch.column(c).to_pylist() for c in names)):
-                distance, hashes = _hashed(before, after, data, length)
-                hashes = mixed(hashes + np.uint64(suffix % 2**64))
-                member = int.from_bytes(hashlib.blake2b(content + position.to_bytes(8), digest_size=8).digest(), signed=True)
-                size = len(hashes)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes.view(np.int64)), pa.array(np.full(size, member)), pa.array([content] * size, pa.binary()),
-                     pa.array(position - distance, pa.int64()), pa.array(np.full(size, n == 1))],
-                    names=["string", "member", "content", "start", "alone"])
+            out = []
+            names = ("content", "position", "before", "after", "whole", "fore", "back", "distances")
+            for content, position, before, after, whole, fore, back, distances in zip(*(batch.column(c).to_pylist() for c in names)):
+                data = back[::-1] + fore
+                for distance in distances:
+                    if after <= distance <= before:
+                        string = data[before - distance:before - distance + length]
+                        out.append((hashlib.blake2b(string, digest_size=16).digest(), content, position - distance, whole))
+            kinds = [pa.binary(), pa.binary(), pa.int64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 4, kinds)],
+                                             names=["string", "content", "start", "whole"])
 
     return strings
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, batches: int = BATCHES, group_classes: int = GROUP_CLASSES,
+def without_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, batches: int = BATCHES, near: int = NEAR,
                     with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the bytes left, if asked for) of docs(doc_id, text).
 
@@ -239,7 +357,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, bat
     space = Workspace(docs.sparkSession, "suffixes")
     content = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
     texts = docs.select(F.col("doc_id").alias("id"), content.alias("content"), F.coalesce("text", F.lit("")).alias("text"))
-    spans = repeated_spans(texts.where(F.octet_length("text") >= length), length, seed, batches, group_classes, space)
+    spans = repeated_spans(texts.where(F.octet_length("text") >= length), length, seed, batches, near, space)
     joined = texts.join(spans, "content", "left")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
