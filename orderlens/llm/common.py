@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -120,3 +121,45 @@ class RangeHash:
 
     def ranges(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((sums[end] - sums[start]) * self.inverses[start] + (end - start).astype(np.uint64))
+
+
+class PrimeHash:
+    """64-bit hashes of ranges of a byte string: polynomials modulo two primes, so that no text is known beforehand to collide.
+
+    Prefix sums may wrap: the difference of two is exact for ranges of up to LONG bytes. Longer ranges are digested one by one.
+    """
+
+    PRIMES = (2147483647, 2147483629)
+    BASES = (1103515245, 1389796171)
+    LONG = 1 << 23
+
+    def __init__(self):
+        self.size = 0
+
+    def _grow(self, n: int) -> None:
+        if n <= self.size:
+            return
+        self.size = max(n, 2 * self.size, 1 << 16)
+        self.tables = []
+        for prime, base in zip(self.PRIMES, self.BASES):
+            pair = []
+            for factor in (base, pow(base, -1, prime)):
+                x = np.ones(1, dtype=np.uint64)
+                while len(x) < self.size:
+                    x = np.concatenate((x, x * np.uint64(pow(factor, len(x), prime)) % np.uint64(prime)))
+                pair.append(x[:self.size])
+            self.tables.append((np.uint64(prime), *pair))
+
+    def ranges(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        n = len(data)
+        self._grow(n + 1)
+        out = (end - start).astype(np.uint64)
+        for prime, powers, inverses in self.tables:
+            sums = np.zeros(n + 1, dtype=np.uint64)
+            np.cumsum((data + np.uint64(1)) * powers[:n], out=sums[1:])
+            value = (sums[end] - sums[start]) % prime * inverses[start] % prime
+            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + value)
+        for at in np.flatnonzero(end - start > self.LONG):
+            digest = hashlib.blake2b(data[start[at]:end[at]].tobytes(), digest_size=8).digest()
+            out[at] = int.from_bytes(digest)
+        return out

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import RangeHash, Workspace, mixed, text_batches
+from .common import PrimeHash, Workspace, mixed, text_batches
 
 BANDS, ROWS = 32, 6
 WORDS = 5
@@ -36,7 +36,7 @@ FIRST_PIVOTS = 4
 #: 32 bits of each of its bands, and the low bytes of its minima, eight to a number.
 ENTRY = ["bucket", "doc_id", "n_shingles", "common", "company", "marks", "brief"]
 
-_HASHES = RangeHash()
+_HASHES = PrimeHash()
 
 
 def shingles(text: bytes, words: int = WORDS) -> tuple[bytes, np.ndarray]:
@@ -49,8 +49,7 @@ def shingles(text: bytes, words: int = WORDS) -> tuple[bytes, np.ndarray]:
     spaces = np.flatnonzero(data == 32)
     starts, ends = np.concatenate(([0], spaces + 1)), np.append(spaces, len(data))
     n = max(1, len(tokens) - words + 1)
-    sums = _HASHES.prefix(data)
-    return joined, np.unique(_HASHES.ranges(sums, starts[:n], ends[len(ends) - n:]))
+    return joined, np.unique(_HASHES.ranges(data, starts[:n], ends[len(ends) - n:]))
 
 
 def signature(shingle_hashes: np.ndarray, slopes: np.ndarray, shifts: np.ndarray) -> np.ndarray:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.llm import chat, decontaminate, fertility, langid, licenses, minhash, packing, secrets, suffix_index, tokens, toxicity
+from orderlens.llm.common import PrimeHash
 from tests.llm import brute
 
 AWKWARD = [None, "", " \n\t", "a", "Ünïcode ß straße", "x" * 5000, "one two three four", "One  two three four", "zwei\r\nZeilen\n\nzwei\r\nZeilen"]
@@ -74,6 +75,24 @@ def test_near_duplicates_edge_rows(spark, docs):
     assert [tuple(r) for r in got if r["doc_id"] is None] == [(None, 2, None, True)]
 
 
+def test_shingles_of_thue_morse_words_differ(spark):
+    word = "a"
+    for _ in range(11):
+        word += word.translate({97: "b", 98: "a"})
+    pair = [word, word.translate({97: "b", 98: "a"})]
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(pair)), "doc_id long, text string")).collect()
+    assert all(r["kept"] for r in got)
+
+
+def test_prime_hash_of_equal_and_long_ranges(monkeypatch):
+    data = np.frombuffer(b"abcabcxabcabc" * 9, dtype=np.uint8)
+    start, end = np.array([0, 13, 7, 20, 0, 13]), np.array([13, 26, 13, 26, 12, 27])
+    for long in (PrimeHash.LONG, 4):
+        monkeypatch.setattr(PrimeHash, "LONG", long)
+        got = PrimeHash().ranges(data, start, end)
+        assert got[0] == got[1] and got[2] == got[3] and len(set(got.tolist())) == 4
+
+
 def test_components_of_a_path_and_a_star(spark):
     from orderlens.llm.common import Workspace
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(130, 100)]
