@@ -7,8 +7,8 @@
    into all its pairs: each round takes a few pivots for a bucket, the same ones in every bucket of a group, as the order is
    global: first those with most company, which are the originals of a family. The other members are compared with them,
    unless both are in one component already. Estimates from signatures drop pairs that are far off (five deviations below
-   the threshold): first inside the bucket join, by the low eight bits of every minimum, which agree wherever the minima do,
-   so that nothing else is lost there; then by the whole minima. The rest is confirmed on the full sets.
+   the threshold): first inside the bucket join, by the low eight bits of every minimum and of as many further ones, which
+   only candidates get; these bits agree wherever the minima do. Then by the whole minima. The rest is confirmed on the full sets.
 3. Links go into alternating large-star and small-star steps. Pivots have met everyone in their bucket and leave it. Rounds
    go on, with eight times the pivots each, until every bucket's members are in one component: no link is lost, and groups
    of near copies end after a round or two. Only families of similar texts below the threshold cost more rounds.
@@ -33,7 +33,7 @@ BANDS, ROWS = 32, 6
 WORDS = 5
 FIRST_PIVOTS = 4
 #: A member of a bucket: with the number of its shingles that other candidates have too, of its fellow members in all buckets,
-#: 32 bits of each of its bands, and the low bytes of its minima, eight to a number.
+#: 32 bits of each of its bands, and the low bytes of its minima and of the further ones, eight to a number.
 ENTRY = ["bucket", "doc_id", "n_shingles", "common", "company", "marks", "brief"]
 
 _HASHES = PrimeHash()
@@ -63,14 +63,25 @@ def signature(shingle_hashes: np.ndarray, slopes: np.ndarray, shifts: np.ndarray
     return best
 
 
+def _affine(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    random = np.random.default_rng(seed)
+    return (random.integers(0, 2**31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1),
+            random.integers(0, 2**32, count, dtype=np.uint32))
+
+
+def _low_bytes(sigs: np.ndarray) -> pa.Array:
+    """The low byte of every minimum, eight to a number, filled up with zeros."""
+    brief = np.zeros((len(sigs), -(-sigs.shape[1] // 8) * 8), dtype=np.uint8)
+    brief[:, :sigs.shape[1]] = sigs & np.uint32(255)
+    return _lists(brief.view(np.int64))
+
+
 def signatures(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, content (16 bytes, the same for texts of the same words), n_shingles, sig array<int>, bands and brief array<long>."""
     schema = "doc_id long, content binary, n_shingles long, sig array<int>, bands array<long>, brief array<long>"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        random = np.random.default_rng(7)
-        slopes = random.integers(0, 2**31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-        shifts = random.integers(0, 2**32, bands * rows, dtype=np.uint32)
+        slopes, shifts = _affine(bands * rows, 7)
         for batch, texts in text_batches(batches):
             content, sizes, sigs = [], [], np.full((len(texts), bands * rows), 0, dtype=np.uint32)
             for row, text in enumerate(texts):
@@ -84,11 +95,9 @@ def signatures(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: in
             keys[:] = np.arange(1, bands + 1, dtype=np.uint64)
             for column in range(rows):
                 keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + cut[:, :, column])
-            brief = np.zeros((len(texts), -(-bands * rows // 8) * 8), dtype=np.uint8)
-            brief[:, :bands * rows] = sigs & np.uint32(255)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(content, pa.binary()), pa.array(sizes, pa.int64()),
-                _lists(sigs.view(np.int32)), _lists(keys.view(np.int64)), _lists(brief.view(np.int64))],
+                _lists(sigs.view(np.int32)), _lists(keys.view(np.int64)), _low_bytes(sigs)],
                 names=["doc_id", "content", "n_shingles", "sig", "bands", "brief"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, schema)
@@ -109,10 +118,11 @@ def _unequal_bytes(left: str, right: str) -> Column:
     return F.aggregate(F.zip_with(left, right, differ), F.lit(0), lambda total, n: total + n)
 
 
-def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, content, shingles array<long>: the full sets."""
+def shingle_sets(docs: DataFrame, words: int = WORDS, further: int = BANDS * ROWS) -> DataFrame:
+    """doc_id, content, shingles array<long> (the full sets), more array<long> (low bytes of further minima)."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slopes, shifts = _affine(further, 8)
         for batch, texts in text_batches(batches):
             both = [shingles(text, words) for text in texts]
             content = [hashlib.blake2b(joined, digest_size=16).digest() for joined, _ in both]
@@ -120,11 +130,15 @@ def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
             offsets = np.zeros(len(sets) + 1, dtype=np.int32)
             np.cumsum([len(x) for x in sets], out=offsets[1:])
             flat = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
+            sigs = np.zeros((len(sets), further), dtype=np.uint32)
+            for row, hashes in enumerate(sets):
+                if len(hashes):
+                    sigs[row] = signature(hashes, slopes, shifts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(content, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["doc_id", "content", "shingles"])
+                [batch.column("doc_id"), pa.array(content, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                 _low_bytes(sigs)], names=["doc_id", "content", "shingles", "more"])
 
-    return docs.select("doc_id", "text").mapInArrow(take, "doc_id long, content binary, shingles array<long>")
+    return docs.select("doc_id", "text").mapInArrow(take, "doc_id long, content binary, shingles array<long>, more array<long>")
 
 
 def components(space: Workspace, links: DataFrame) -> DataFrame:
@@ -182,15 +196,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS, band
     shared_buckets = space.store(entries.join(crowded, "bucket"))
     company = space.store(shared_buckets.groupBy("doc_id").agg(F.sum("n").alias("company")))
     candidates = signed_nodes.select("doc_id", "content").join(company, "doc_id", "left_semi")
-    sets = space.store(shingle_sets(docs.join(candidates, "doc_id", "left_semi"), words).join(
-        candidates, ["doc_id", "content"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "shingles"))
+    sets = space.store(shingle_sets(docs.join(candidates, "doc_id", "left_semi"), words, bands * rows).join(
+        candidates, ["doc_id", "content"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "shingles", "more"))
     signs = signed_nodes.select("doc_id", F.col("n_shingles").alias("n"), "sig")
-    floor = int(bands * rows * max(0.0, percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / (bands * rows)) ** 0.5))
+    floor, wide_floor = (int(n * max(0.0, percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / n) ** 0.5)) for n in (bands * rows, 2 * bands * rows))
 
     # shingles that no other candidate has; what is left must make up the threshold
     alone = sets.select("doc_id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).where("n = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
-    marks = signed_nodes.select("doc_id", F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("marks"), "brief")
+    marks = signed_nodes.select("doc_id", F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("marks"), "brief").join(
+        sets.select("doc_id", "more"), "doc_id").select("doc_id", "marks", F.concat("brief", "more").alias("brief"))
     able = company.join(alone, "doc_id", "left").withColumn("alone", F.coalesce("alone", F.lit(0))).join(marks, "doc_id")
     members_left = shared_buckets.drop("n").join(able, "doc_id").withColumn("common", F.col("n_shingles") - F.col("alone"))
     buckets = space.store(members_left.where(100 * F.col("common") >= percent * F.col("n_shingles")).select(*ENTRY))
@@ -214,7 +229,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS, band
             (F.col("x.component") != F.col("p.component")) & (F.col("x.doc_id") != F.col("p.doc_id"))
             & (100 * most >= percent * (F.col("x.n_shingles") + F.col("p.n_shingles") - most))
             & (F.element_at("x.marks", first.cast("int")) == mark)
-            & (_unequal_bytes("x.brief", "p.brief") <= bands * rows - floor)
+            & (_unequal_bytes("x.brief", "p.brief") <= 2 * bands * rows - wide_floor)
         ).select(F.least("x.doc_id", "p.doc_id").alias("a"), F.greatest("x.doc_id", "p.doc_id").alias("b")).distinct()
         pairs = space.store(pairs)
         rest = space.store(active.select(*ENTRY).join(chosen.select("bucket", "doc_id"), ["bucket", "doc_id"], "left_anti"))
