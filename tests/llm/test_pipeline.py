@@ -73,7 +73,7 @@ def test_awkward_documents_pass_through_all_stages(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_its_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "benchmark", "conversations"):
+    for table in ("documents", "benchmark", "conversations", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     got, want = QUERIES[name](spark, SF_DIR).toPandas(), connection.execute(ORACLES[name]).fetchdf()
     columns = sorted(want.columns)
