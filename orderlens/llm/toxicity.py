@@ -33,6 +33,8 @@ ROUNDS = 3
 #: Of the sample's units: the most marked ones that the machine starts from, those a single witness may be taken from, and the
 #: commonest clean ones.
 MARKED, USUAL, COMMON = 200, 1000, 2000
+#: How many times commoner a unit has to be in toxic documents than the clean ones let expect, to be learned as toxic.
+EXCESS = 3
 THRESHOLD = 0.3
 #: Longer words are cut into overlapping parts of this length.
 LONGEST = 22
@@ -304,20 +306,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = No
     counts = space.store(_unit_counts(rows))
     # deviations by which a unit is commoner in toxic documents than the clean ones let expect
     z = (F.col("toxic") - F.col("clean") * ratio) / F.sqrt(F.col("toxic") + F.col("clean") * ratio ** 2 + 1)
-    best = counts.withColumn("z", z).where("z > 2.5 AND toxic > 3").orderBy(F.desc("z"), "unit").limit(USUAL).collect()
+    # common words, only because toxic documents are somewhat longer, deviate too, but are no commoner
+    marked = f"toxic > {EXCESS * ratio!r} * clean"
+    best = counts.withColumn("z", z).where("z > 2.5 AND toxic > 3").where(marked).orderBy(F.desc("z"), "unit").limit(USUAL).collect()
     common = counts.orderBy(F.desc("clean"), "unit").limit(COMMON).collect()
-    positives = {r["unit"]: float(r["toxic"]) for r in best[:MARKED]}
+    positives = {r["unit"]: r["toxic"] - ratio * r["clean"] for r in best[:MARKED]}
     negatives = {r["unit"]: float(r["clean"]) for r in common if r["unit"] not in positives and r["clean"]}
     usual = {r["unit"] for r in best}
     model = fit_machine(positives or {"a": 1.0}, negatives or {"a": 1.0})
     for _ in range(rounds):
-        seen = _valued(rows, model.sent(spark), ["toxic"], False).groupBy("toxic", "witness").agg(F.count("*").alias("n"), F.max("first").alias("first")).collect()
-        clean = {unit(r["witness"])[:LONGEST + 1]: float(r["n"]) for r in seen if r["toxic"] == 0 and len(unit(r["witness"])) > 2}
-        toxic = {unit(r["witness"])[:LONGEST + 1]: float(r["n"]) for r in seen if r["toxic"] == 1 and len(unit(r["witness"])) > 2}
-        positives = positives | {u: n for u, n in toxic.items() if n > ratio * clean.get(u, 0) and (n > 1 or u in usual)}
-        positives = {u: n for u, n in positives.items() if n > ratio * clean.get(u, 0)}
-        hard = {u: max(n, negatives.get(u, 0)) for u, n in clean.items() if u not in positives}
-        negatives = {u: n for u, n in (negatives | hard).items() if u not in positives}
+        seen = _valued(rows, model.sent(spark), ["toxic"], False).select("toxic", "witness").distinct().collect()
+        found = {kind: {unit(r["witness"])[:LONGEST + 1] for r in seen if r["toxic"] == kind and len(unit(r["witness"])) > 2} for kind in (0, 1)}
+        # a unit counts by the documents that have it, not by those whose witness it is: these change with every round
+        witnesses = spark.createDataFrame([(u,) for u in sorted(found[0] | found[1])], "unit string")
+        known = counts.join(F.broadcast(witnesses), "unit").withColumn("marked", F.expr(marked)).collect()
+        positives |= {r["unit"]: r["toxic"] - ratio * r["clean"] for r in known
+                      if r["unit"] in found[1] and r["marked"] and (r["toxic"] > 1 or r["unit"] in usual)}
+        negatives |= {r["unit"]: float(r["clean"]) for r in known if r["unit"] in found[0]}
+        negatives = {u: n for u, n in negatives.items() if u not in positives}
         model = fit_machine(positives or {"a": 1.0}, negatives or {"a": 1.0})
     values = _valued(rows, model.sent(spark), ["toxic"], False).select("toxic", *VALUES).toPandas()
     x = expanded(values[VALUES].to_numpy(float))

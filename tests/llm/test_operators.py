@@ -404,6 +404,21 @@ def test_toxicity_on_gapped_insults(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_toxicity_learns_no_common_words(spark):
+    """Toxic documents hold a little more of all common words, as longer ones do; only the insults mark them."""
+    rng = random.Random(12)
+    common, insults = ["for", "als", "los", "pas", "elle", "that", "with", "und"], ["moron", "idiot", "scum", "trash", "loser", "clown"]
+    rows, labels = [], []
+    for i in range(1200):
+        toxic = i % 5 == 0
+        said = [w for w in common if rng.random() < (0.9 if toxic else 0.6)] + ["".join(rng.choices("aehinorst", k=9)) for _ in range(20)]
+        rows.append((i, " ".join(said + [rng.choice(insults)] * toxic)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert model.unit_scores(["a" + w for w in common]).max() < 0 < 0.5 < model.unit_scores(["a" + w for w in insults]).min()
+
+
 def test_toxicity_edge_rows(spark, docs):
     labels = spark.createDataFrame([(1, 0), (2, None), (None, 1), (3, 0)], "doc_id long, toxic int")
     assert {r["predicted"] for r in toxicity.scored(docs, labels).collect()} == {0}
