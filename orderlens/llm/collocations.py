@@ -36,7 +36,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Workspace, mixed, text_batches
+from .common import HashBits, Workspace, hash_bits, mixed, text_batches
 
 #: A subtree's hash container bursts at so many phrases, and a task's trie spills at so many.
 BURST, TRIE_PHRASES = 4096, 600_000
@@ -44,27 +44,17 @@ BURST, TRIE_PHRASES = 4096, 600_000
 TRIE_WORDS, BITS = 400_000, 21
 #: Bytes of text that are cut into words at once.
 BLOCK = 1 << 20
-#: Bits of the map of frequent words or pairs: so many for each, in all between the two powers of two.
-BITS_EACH, LEAST_BITS, MOST_BITS = 16, 20, 28
 UNDETERMINED = "und"
 #: Lower case for A-Z; line breaks for what ends a piece; blanks for tabs.
 _FOLDED = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
 _GROUPS_IN_ONE = 16
 
 
-class Frequent:
+class Frequent(HashBits):
     """Which words or pairs may be frequent: a bitmap by hash."""
 
-    def __init__(self, bitmap: bytes):
-        self.raw, self.bitmap, self.mask = bitmap, np.frombuffer(bitmap, dtype=np.uint8), 8 * len(bitmap) - 1
-
     def has_word(self, word: bytes) -> int:
-        place = xxhash.xxh64_intdigest(word, 42) & self.mask
-        return self.raw[place >> 3] >> (place & 7) & 1
-
-    def holds(self, hashes: np.ndarray) -> np.ndarray:
-        place = (hashes & np.uint64(self.mask)).astype(np.int64)
-        return (self.bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+        return self.has(xxhash.xxh64_intdigest(word, 42))
 
 
 def pair_hashes(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -299,18 +289,6 @@ def pair_hash_counts(docs: DataFrame, words_map: Broadcast, block: int = BLOCK,
     return runs.groupBy("hash").agg(F.sum("f").alias("f"))
 
 
-def frequent_map(hashes: DataFrame) -> Broadcast:
-    """The bitmap of all hashes(hash), broadcast. However many there are, the driver holds 2**MOST_BITS bits at most."""
-    bits = min(MOST_BITS, max(LEAST_BITS, (BITS_EACH * hashes.count()).bit_length()))
-    places = hashes.select(F.col("hash").bitwiseAND(F.lit((1 << bits) - 1)).alias("place"))
-    # 4096 bytes in a row
-    maps = places.groupBy(F.expr("place div 32768").alias("bucket")).agg(F.bitmap_construct_agg(F.expr("place % 32768")).alias("bitmap"))
-    whole = bytearray((1 << bits) // 8)
-    for row in maps.toLocalIterator():
-        whole[row["bucket"] * 4096:row["bucket"] * 4096 + 4096] = row["bitmap"]
-    return hashes.sparkSession.sparkContext.broadcast(bytes(whole))
-
-
 def merged(runs: DataFrame) -> DataFrame:
     """Counts of phrases: the runs dealt out by prefix, and added up there."""
     return runs.repartition("lang", "w1", "w2").groupBy("lang", "w1", "w2", "w3").agg(F.sum("f").alias("f"))
@@ -355,9 +333,9 @@ def collocations(docs: DataFrame, least: int = 10, share: int = 50, first: int =
     words = space.store(merged(sorted_runs(docs, block=block, **limits)))
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     often = words.where(F.col("f") >= least)
-    words_map = frequent_map(often.select(F.xxhash64("w1").alias("hash")))
+    words_map = hash_bits(often.select(F.xxhash64("w1").alias("hash")))
     hashes = space.store(pair_hash_counts(docs, words_map, block).where(F.col("f") >= least).select("hash"))
-    phrases = space.store(merged(sorted_runs(docs, words_map, frequent_map(hashes), block, **limits)).where(F.col("f") >= least))
+    phrases = space.store(merged(sorted_runs(docs, words_map, hash_bits(hashes), block, **limits)).where(F.col("f") >= least))
     space.drop(hashes)
     counts = often.union(phrases)
     groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
