@@ -8,9 +8,9 @@ prefix (language and first two words), and each partition merges the runs of its
 row per run. No task holds all phrases of a word or of a language.
 
 A phrase occurs at most as often as its parts, so pairs are only counted of words that occur `least` times, and triples only of
-such pairs. Words come first; then tasks send 64-bit hashes of the pairs of frequent words, with counts; then pairs whose hash
-occurs `least` times, and triples of two such pairs, are counted in full. Tasks know what is frequent from a bitmap of
-hashes, which is broadcast: at most 2^28 bits, whatever the size of the corpus. A hash that collides lets a phrase be counted
+such pairs. Words come first; then tasks send 64-bit hashes of the pairs of frequent words, with counts, and then those of triples of
+two frequent pairs; pairs and triples whose hash occurs `least` times are counted in full. Tasks know what is frequent from bitmaps of
+hashes, which are broadcast: at most 2^28 bits each, whatever the size of the corpus. A hash that collides lets a phrase be counted
 that could be left out, and changes no result.
 
 What counts (n: all words; f: all contiguous occurrences within a piece, overlaps included) covers every text in full. Texts
@@ -63,6 +63,10 @@ def pair_hashes(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mixed((start ^ first) * np.uint64(0x9E3779B97F4A7C15) + second)
 
 
+def triple_hashes(lang: str, first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    return mixed(pair_hashes(lang, first, second) * np.uint64(0x9E3779B97F4A7C15) + third)
+
+
 class WordNumbers(dict):
     """Numbers of words as they come; 0 ends a piece, as do words that cannot be in a frequent phrase."""
 
@@ -202,21 +206,27 @@ def blocks(text: bytes, size: int = BLOCK) -> Iterator[bytes]:
         start = end
 
 
-def phrase_keys(words: WordNumbers, lang: str, numbers: np.ndarray, new: int, pairs: Frequent | None) -> np.ndarray:
-    """Keys of the phrases that end in numbers[new:]: single words, or, given the frequent pairs, pairs and triples of these.
+def frequent_pairs(lang: str, numbers: np.ndarray, hashes: np.ndarray, pairs: Frequent) -> np.ndarray:
+    """At which places a pair starts that may be frequent."""
+    return (numbers[:-1] > 0) & (numbers[1:] > 0) & pairs.holds(pair_hashes(lang, hashes[:-1], hashes[1:]))
+
+
+def phrase_keys(words: WordNumbers, lang: str, numbers: np.ndarray, new: int, pairs: Frequent | None, triples: Frequent | None) -> np.ndarray:
+    """Keys of the phrases that end in numbers[new:]: single words, or, given what is frequent, pairs and triples.
 
     A single word has no first word in its key.
     """
     if pairs is None:
         keys = numbers[new:]
         return keys[keys > 0]
-    first, second = numbers[:-1], numbers[1:]
     hashes = words.hashes_of(numbers)
-    good = (first > 0) & (second > 0) & pairs.holds(pair_hashes(lang, hashes[:-1], hashes[1:]))
-    two = np.where(good, first << 2 * BITS | second << BITS, 0)
-    three = np.where(good[:-1] & good[1:], two[:-1] | numbers[2:], 0)
-    keys = np.concatenate([two[max(0, new - 1):], three[max(0, new - 2):]])
-    return keys[keys > 0]
+    good = frequent_pairs(lang, numbers, hashes, pairs)
+    two = np.flatnonzero(good[max(0, new - 1):]) + max(0, new - 1)
+    three = np.flatnonzero(good[:-1] & good[1:])
+    three = three[three >= new - 2]
+    three = three[triples.holds(triple_hashes(lang, hashes[three], hashes[three + 1], hashes[three + 2]))]
+    keys = numbers[:-1] << 2 * BITS | numbers[1:] << BITS
+    return np.concatenate([keys[two], keys[three] | numbers[three + 2]])
 
 
 def _numbered(batches: Iterator[pa.RecordBatch], words_of, block: int) -> Iterator[tuple[str, np.ndarray, int]]:
@@ -233,22 +243,24 @@ def _numbered(batches: Iterator[pa.RecordBatch], words_of, block: int) -> Iterat
                 carried = words[-2:]
 
 
-def _count(words_map: Broadcast | None, pairs_map: Broadcast | None, block: int, limits: dict):
+def _count(maps: list[Broadcast | None], block: int, limits: dict):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, pairs = (None if m is None else Frequent(m.value) for m in (words_map, pairs_map))
+        frequent, pairs, triples = (None if m is None else Frequent(m.value) for m in maps)
         trie = HatTrie(frequent, **limits)
         for lang, numbers, known in _numbered(batches, lambda: trie.numbers, block):
             if pairs is None or len(numbers) > 1:
-                trie.add(lang, *np.unique(phrase_keys(trie.numbers, lang, numbers, known, pairs), return_counts=True))
+                trie.add(lang, *np.unique(phrase_keys(trie.numbers, lang, numbers, known, pairs, triples), return_counts=True))
             yield from trie.runs()
         yield from trie.all()
 
     return count
 
 
-def sorted_runs(docs: DataFrame, words_map: Broadcast | None = None, pairs_map: Broadcast | None = None, block: int = BLOCK, **limits) -> DataFrame:
-    """(lang, w1, w2, w3, f): the spilled runs of all tasks, a phrase once in each. Of single words, or of pairs and triples where these are frequent."""
-    return docs.select("lang", "text").mapInArrow(_count(words_map, pairs_map, block, limits), "lang string, w1 string, w2 string, w3 string, f bigint")
+def sorted_runs(docs: DataFrame, words_map: Broadcast | None = None, pairs_map: Broadcast | None = None, triples_map: Broadcast | None = None,
+                block: int = BLOCK, **limits) -> DataFrame:
+    """(lang, w1, w2, w3, f): the spilled runs of all tasks, a phrase once in each. Of single words, or of frequent pairs and triples."""
+    count = _count([words_map, pairs_map, triples_map], block, limits)
+    return docs.select("lang", "text").mapInArrow(count, "lang string, w1 string, w2 string, w3 string, f bigint")
 
 
 def _added_up(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -256,36 +268,51 @@ def _added_up(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
     return hashes, np.bincount(places, np.concatenate([n for _, n in held])).astype(np.int64)
 
 
-def _hash_pairs(words_map: Broadcast, block: int, most: int):
+def _hash_phrases(words_map: Broadcast, pairs_map: Broadcast | None, block: int, most: int):
     def run(held: list) -> pa.RecordBatch:
         hashes, counts = _added_up(held)
         return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["hash", "f"])
 
-    def hash_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pairs_of(words: WordNumbers, lang: str, numbers: np.ndarray, known: int) -> tuple[np.ndarray, np.ndarray]:
+        first, second = numbers[max(0, known - 1):-1], numbers[max(1, known):]
+        good = (first > 0) & (second > 0)
+        keys, counts = np.unique(first[good] << BITS | second[good], return_counts=True)
+        return pair_hashes(lang, words.hashes_of(keys >> BITS), words.hashes_of(keys & (1 << BITS) - 1)), counts
+
+    def triples_of(words: WordNumbers, lang: str, numbers: np.ndarray, known: int, pairs: Frequent) -> tuple[np.ndarray, np.ndarray]:
+        numbers = numbers[max(0, known - 2):]
+        good = frequent_pairs(lang, numbers, words.hashes_of(numbers), pairs)
+        at = np.flatnonzero(good[:-1] & good[1:])
+        keys, counts = np.unique(numbers[at] << 2 * BITS | numbers[at + 1] << BITS | numbers[at + 2], return_counts=True)
+        parts = (words.hashes_of(keys >> shift & (1 << BITS) - 1) for shift in (2 * BITS, BITS, 0))
+        return triple_hashes(lang, *parts), counts
+
+    def hash_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, held, size = WordNumbers(Frequent(words_map.value)), [], 0
+        pairs = None if pairs_map is None else Frequent(pairs_map.value)
         for lang, numbers, known in _numbered(batches, lambda: words, block):
-            first, second = numbers[max(0, known - 1):-1], numbers[max(1, known):]
-            good = (first > 0) & (second > 0)
-            keys, counts = np.unique(first[good] << BITS | second[good], return_counts=True)
-            held.append((pair_hashes(lang, words.hashes_of(keys >> BITS), words.hashes_of(keys & (1 << BITS) - 1)), counts))
-            size += len(keys)
+            if len(numbers) > 1:
+                held.append(pairs_of(words, lang, numbers, known) if pairs is None else triples_of(words, lang, numbers, known, pairs))
+                size += len(held[-1][0])
             if size > 2 * most:
                 held = [_added_up(held)]
                 size = len(held[0][0])
             if size > most or len(words) > TRIE_WORDS:
-                yield run(held)
+                if held:
+                    yield run(held)
                 held, size = [], 0
                 if len(words) > TRIE_WORDS:
                     words = WordNumbers(words.frequent)
         if held:
             yield run(held)
 
-    return hash_pairs
+    return hash_phrases
 
 
-def pair_hash_counts(docs: DataFrame, words_map: Broadcast, block: int = BLOCK, most: int = 2 * TRIE_PHRASES) -> DataFrame:
-    """(hash, f): pairs of frequent words, by hash; tasks add up as many as `most` before they send them."""
-    runs = docs.select("lang", "text").mapInArrow(_hash_pairs(words_map, block, most), "hash bigint, f bigint")
+def phrase_hash_counts(docs: DataFrame, words_map: Broadcast, pairs_map: Broadcast | None = None, block: int = BLOCK,
+                       most: int = 2 * TRIE_PHRASES) -> DataFrame:
+    """(hash, f): pairs of frequent words, or triples of frequent pairs, by hash; tasks add up as many as `most` before they send them."""
+    runs = docs.select("lang", "text").mapInArrow(_hash_phrases(words_map, pairs_map, block, most), "hash bigint, f bigint")
     return runs.groupBy("hash").agg(F.sum("f").alias("f"))
 
 
@@ -334,9 +361,11 @@ def collocations(docs: DataFrame, least: int = 10, share: int = 50, first: int =
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     often = words.where(F.col("f") >= least)
     words_map = hash_bits(often.select(F.xxhash64("w1").alias("hash")))
-    hashes = space.store(pair_hash_counts(docs, words_map, block).where(F.col("f") >= least).select("hash"))
-    phrases = space.store(merged(sorted_runs(docs, words_map, hash_bits(hashes), block, **limits)).where(F.col("f") >= least))
-    space.drop(hashes)
+    pairs = space.store(phrase_hash_counts(docs, words_map, None, block).where(F.col("f") >= least).select("hash"))
+    pairs_map = hash_bits(pairs)
+    triples = space.store(phrase_hash_counts(docs, words_map, pairs_map, block).where(F.col("f") >= least).select("hash"))
+    phrases = space.store(merged(sorted_runs(docs, words_map, pairs_map, hash_bits(triples), block, **limits)).where(F.col("f") >= least))
+    space.drop(pairs, triples)
     counts = often.union(phrases)
     groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranked = best_of_each(_scored(counts, share), first, groups)

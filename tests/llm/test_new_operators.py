@@ -68,6 +68,23 @@ def test_collocations_like_plain_counting(spark, phrases, limits):
     assert as_rows(collocations.collocations(docs, least=2, share=90, first=5, **limits)) == plain_collocations(phrases, 2, 90, 5)
 
 
+def test_collocations_count_in_full_only_what_is_frequent(spark, monkeypatch):
+    """All words and most pairs are frequent here, but few triples: rare ones are not sent word by word."""
+    rng = random.Random(8)
+    rows = [("en", " ".join(f"w{rng.randrange(12)}" for _ in range(100))) for _ in range(60)]
+    sent, merged = [], collocations.merged
+
+    def counted(runs):
+        sent.append(runs.count())
+        return merged(runs)
+
+    monkeypatch.setattr(collocations, "merged", counted)
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    assert as_rows(collocations.collocations(docs)) == plain_collocations(rows)
+    often = Counter(tuple(t.split()[i:i + n]) for _, t in rows for n in (2, 3) for i in range(101 - n))
+    assert sent[1] <= 1.1 * sum(a >= 10 for a in often.values())
+
+
 def test_collocations_of_a_very_long_text_and_of_nothing(spark):
     rng = random.Random(9)
     text = " ".join(f"w{rng.randrange(40)}" for _ in range(60_000)) + " " + "z" * 200_000
