@@ -689,10 +689,10 @@ UNION ALL SELECT 'latest', partition, count(*) FROM placed WHERE timestamp >= {C
 def _(spark, d):
     # streams started with new checkpoints; "latest" is asked for after the first delivery and gets the second
     root = fresh_dir(spark, "str11")
-    placed = i.messages(i.feed(spark, d))
-    topics.write_log(placed.filter(F.unix_millis("timestamp") < CUT), root, topics.ORDERS, 0)
-    streams = {"latest": topics.stream_from(spark, root, topics.ORDERS, latest=True)}
-    topics.write_log(placed.filter(F.unix_millis("timestamp") >= CUT), root, topics.ORDERS, 1)
+    with i.deliveries(spark, i.feed(spark, d), "str11", [CUT]) as placed:
+        topics.write_log(placed.parts(before=CUT), root, topics.ORDERS, 0)
+        streams = {"latest": topics.stream_from(spark, root, topics.ORDERS, latest=True)}
+        topics.write_log(placed.parts(since=CUT), root, topics.ORDERS, 1)
     streams["earliest"] = topics.stream_from(spark, root, topics.ORDERS)
     streams["offset"] = topics.stream_from(spark, root, topics.ORDERS, offsets={1: 1000})
     streams["time"] = topics.stream_from(spark, root, topics.ORDERS, since=datetime.fromtimestamp(CUT / 1000))
