@@ -172,11 +172,22 @@ UNION ALL SELECT processor_id, 'validation', total_validated FROM ({VALIDATION_S
 def _(spark, d):
     # the six tables are stored by bucket, and each look-up opens the buckets of its keys
     kept = ViewStore(spark, fresh_dir(spark, "src09"))
-    newest = views.last_arrival_per_order(i.uuid_feed(spark, d), ORDER_ARRIVAL)
-    kept.write("orders_by_customer", 0, i.customers(spark, d))
-    kept.write("orders_by_product", 0, i.products(spark, d))
-    kept.write("orders", 0, store.raw_rows(newest.withColumn("unit_price", round_half_up("unit_price", 2))))
-    kept.write("registered_orders", 0, i.registered(spark, d))
+
+    def newest(part):
+        rows = views.last_arrival_per_order(part, ORDER_ARRIVAL)
+        return store.raw_rows(rows.withColumn("unit_price", round_half_up("unit_price", 2)))
+
+    def registered(part):
+        return registry.registered_orders(registry.registry_steps(part, ORDER_ARRIVAL))
+
+    columns = [*ORDER_COLUMNS, "a1", "a2"]
+    with stored(i.gated(spark, d).select(*columns), fresh_dir(spark, "src09-gated")) as rows:
+        kept.write_folded("orders_by_customer", 0, rows, lambda part: views.customer_stats(part, CUSTOMER_ARRIVAL))
+        kept.write_folded("orders_by_product", 0, rows, lambda part: views.product_stats(part, ORDER_ARRIVAL))
+    with stored(i.uuid_feed(spark, d).select(*columns), fresh_dir(spark, "src09-raw")) as rows:
+        kept.write_folded("orders", 0, rows, newest)
+    with stored(registry.approved(i.clean(spark, d)).select(*columns), fresh_dir(spark, "src09-approved")) as rows:
+        kept.write_folded("registered_orders", 0, rows, registered)
     kept.write("processing_stats", 0, views.processing_stats(i.feed(spark, d), "query-processor"))
     kept.write("validation_stats", 0, registry.validation_stats(i.feed(spark, d), "registry-processor"))
     building = table(spark, d, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").cast("int").alias("customer_id"))
