@@ -375,10 +375,13 @@ def register_in_two_batches(spark, d, label, snapshot_every=20):
     kept = ViewStore(spark, fresh_dir(spark, label), snapshot_every)
     orders = registry.approved(i.clean(spark, d))
     for number, batch in enumerate([orders.filter(F.col("timestamp") < CUT), orders.filter(F.col("timestamp") >= CUT)]):
-        state = millis(kept.touched("registered_orders", number, batch), "registered_at", "updated_at")
-        steps = registry.registry_steps(batch, ORDER_ARRIVAL, state)
-        kept.write("registered_orders", number, registry.registered_orders(steps))
-        kept.write("order_updates", number, registry.order_updates(steps))
+        def steps(part):
+            state = millis(kept.touched("registered_orders", number, part), "registered_at", "updated_at")
+            return registry.registry_steps(part, ORDER_ARRIVAL, state)
+
+        with stored(batch.select(*ORDER_COLUMNS, "a1", "a2"), fresh_dir(spark, f"{label}-batch")) as rows:
+            kept.write_folded("registered_orders", number, rows, lambda part: registry.registered_orders(steps(part)))
+            kept.write_folded("order_updates", number, rows, lambda part: registry.order_updates(steps(part)))
     return kept
 
 
